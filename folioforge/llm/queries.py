@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covering_simhash
+from . import covering_simhash, superkmer
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,8 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covering_simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.digest_of_kept(read(spark, sf_dir, "documents"))
