@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covering_simhash, superkmer
+from . import covering_simhash, packing, superkmer
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,8 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.digest_of_kept(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
