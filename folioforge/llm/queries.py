@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covering_simhash, decontaminate, packing, superkmer
+from . import covering_simhash, decontaminate, langid_ecoc, packing, quality_cnn, superkmer
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,15 @@ def op3_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid_ecoc.identify(docs, langid_ecoc.fit(docs))
+
+
+@query
+def op4_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_cnn.score(docs, quality_cnn.fit(docs, read(spark, sf_dir, "labels")))
