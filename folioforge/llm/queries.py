@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covering_simhash, decontaminate, langid_ecoc, packing, quality_cnn, superkmer
+from . import chat_format, covering_simhash, decontaminate, langid_ecoc, license_join, packing, quality_cnn, superkmer
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,16 @@ def op2_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return quality_cnn.score(docs, quality_cnn.fit(docs, read(spark, sf_dir, "labels")))
+
+
+@query
+def op9_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_join.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_event_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string"))
+    return chat_format.digest(chat_format.render(chat_format.messages(chat_format.as_events(rows))))
