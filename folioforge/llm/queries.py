@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, covering_simhash, decontaminate, langid_ecoc, license_join, packing, quality_cnn, superkmer
+from . import chat_format, covering_simhash, decontaminate, langid_ecoc, license_join, packing, pii_crf, quality_cnn, superkmer
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op6_event_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = "</s>[INST] ok [/INST]"
     rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string"))
     return chat_format.digest(chat_format.render(chat_format.messages(chat_format.as_events(rows))))
+
+
+@query
+def op1_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.find(read(spark, sf_dir, "documents"))
