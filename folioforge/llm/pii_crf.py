@@ -4,7 +4,7 @@ The field learns from a small labelled table of made-up token rows and labels ea
 Viterbi in numpy batches. It adds spans of kinds and forms that the patterns don't have: secrets, keys, telephone numbers
 without a plus. Spans of the patterns always stay; added ones never overlap them.
 
-A token is plain if it has neither a digit nor one of @ = + " _ #. Once trained, the field is asked whether any label but
+A token is plain if it has neither a digit nor one of @ = + " _. Once trained, the field is asked whether any label but
 `O` can ever pay on a line of plain tokens only; if not, which is the rule, such lines need no decoding to be known.
 """
 
@@ -31,7 +31,7 @@ _ip = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}").finditer
 _card = re.compile(r"[0-9](?:[\x20-]?[0-9])+").finditer
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]").finditer
 _base_sign = re.compile(r"[0-9@]").search
-_sign = re.compile(r'[0-9@=+"_#]')
+_sign = re.compile(r'[0-9@=+"_]')
 _token = re.compile(r"\S+").finditer
 
 

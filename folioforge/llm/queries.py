@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, covering_simhash, decontaminate, langid_ecoc, license_join, packing, pii_crf, quality_cnn, superkmer
+from . import chat_format, covering_simhash, decontaminate, langid_ecoc, license_join, nn_descent, packing, pii_crf, quality_cnn, superkmer
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op6_event_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.find(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(read(spark, sf_dir, "embeddings"))
