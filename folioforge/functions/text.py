@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,30 @@ def _accents() -> tuple[str, str]:
 ACCENTED, PLAIN = _accents()
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), value being computed once however often it is used, inside lambdas too."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def any_of(words: list[str]) -> str:
+    """A pattern of some words that tries shared beginnings once. It matches the longest word that what follows allows."""
+    import re
+
+    tree: dict = {}
+    for w in words:
+        node = tree
+        for c in w:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        ways = [re.escape(c) + pattern(rest) for c, rest in sorted(node.items()) if c]
+        body = f"(?:{'|'.join(ways)})" if ways else ""
+        return body + "?" if "" in node and ways else body
+
+    return pattern(tree)
+
+
 def strip(x: Column | str) -> Column:
     """White space off both ends, in Unicode's sense."""
     return F.regexp_replace(x, f"^[{WHITE}]+|[{WHITE}]+$", "")
@@ -142,18 +168,23 @@ def script_family(script: Column) -> Column:
     return out.otherwise("other")
 
 
-def stopword_ratio(tokens: Column, language: str) -> Column:
-    n = F.size(tokens)
-    return F.when(n == 0, F.lit(0.0)).otherwise(F.size(F.filter(tokens, lambda t: t.isin(*STOPWORDS[language]))) / n)
+LETTER = r"[\p{L}\p{Nl}\p{No}]"
+
+
+def stopword_ratio(x: Column, language: str) -> Column:
+    """Share of stop words among the words of a lower-case text."""
+    n = F.regexp_count(x, F.lit(LETTERS_AND_NUMERALS))
+    stop = F.regexp_count(x, F.lit(f"(?<!{LETTER}){any_of(STOPWORDS[language])}(?!{LETTER})"))
+    return F.when(n == 0, F.lit(0.0)).otherwise(stop / n)
 
 
 def with_language(df: DataFrame, text: str = "text") -> DataFrame:
     """df with scripts, script, language and language_confidence."""
     df = df.withColumn("scripts", script_counts(text)).withColumn("script", dominant_script(F.col("scripts")))
-    df = df.withColumn("__tokens", F.when(F.col("script") == "latin", word_tokens(text)))
+    df = df.withColumn("__words", F.when(F.col("script") == "latin", F.lower(F.substring(text, 1, 40_000))))
     low = F.lower(F.substring(text, 1, 20_000))
     hint = {k: F.when(low.rlike(f"[{marks}]"), 0.02).otherwise(0.0) if marks else F.lit(0.0) for k, marks in DIACRITICS.items()}
-    df = df.withColumns({f"__{k}": stopword_ratio(F.col("__tokens"), k) + hint[k] for k in STOPWORDS})
+    df = df.withColumns({f"__{k}": stopword_ratio(F.col("__words"), k) + hint[k] for k in STOPWORDS})
     scores = [F.col(f"__{k}") for k in STOPWORDS]
     best = F.greatest(*scores)
     second = F.element_at(F.sort_array(F.array(*scores)), 2)
@@ -165,11 +196,11 @@ def with_language(df: DataFrame, text: str = "text") -> DataFrame:
     by_script = F.when((F.col("script") == "han") & kana, "ja")
     for s, k in LANGUAGE_OF_SCRIPT.items():
         by_script = by_script.when(F.col("script") == s, k)
-    latin = (F.col("script") == "latin") & (F.size("__tokens") >= 15)
+    latin = (F.col("script") == "latin") & (F.regexp_count("__words", F.lit(LETTERS_AND_NUMERALS)) >= 15)
     sure = F.round(F.greatest(F.least(F.lit(1.0), best * 3) * (1 - F.least(F.lit(0.9), second / F.greatest(best, F.lit(1e-9)))), F.lit(0.1)), 3)
     df = df.withColumn("language", F.when(latin & (best >= 0.03), winner).when(F.col("script") != "latin", by_script))
     df = df.withColumn("language_confidence", F.when(latin, F.when(best >= 0.03, sure).otherwise(best)).when(by_script.isNotNull(), 0.9).otherwise(0.0))
-    return df.drop("__tokens", *(f"__{k}" for k in STOPWORDS))
+    return df.drop("__words", *(f"__{k}" for k in STOPWORDS))
 
 
 def printable_ratio(x: Column | str) -> Column:
@@ -184,32 +215,37 @@ def alphabetic_ratio(x: Column | str) -> Column:
 
 def char_distribution(x: Column | str, limit: int = 50_000) -> Column:
     """How natural the frequencies of letters look, 0 to 1, by their entropy and the commonest letter's share; 0.5 for under 100 letters."""
-    letters = F.lower(F.regexp_replace(F.substring(x, 1, limit), r"\P{L}", ""))
-    n = F.length(letters)
-    shares = F.transform(F.array_distinct(F.split(letters, "")), lambda c: (n - F.length(F.replace(letters, c, F.lit("")))) / n)
-    shares = F.filter(shares, lambda p: p > 0)
-    entropy = F.aggregate(shares, F.lit(0.0), lambda a, p: a - p * F.log2(p))
-    base = F.when(entropy.between(3.2, 5.2), 1.0).when(entropy < 3.2, F.greatest(F.lit(0.0), entropy / 3.2)).otherwise(F.greatest(F.lit(0.0), 1 - (entropy - 5.2) / 3.0))
-    return F.when(n < 100, F.lit(0.5)).otherwise(F.round(base * F.when(F.array_max(shares).between(0.05, 0.30), 1.0).otherwise(0.6), 4))
+
+    def of_letters(letters: Column) -> Column:
+        n = F.length(letters)
+        counts = let(n, lambda m: F.transform(F.array_distinct(F.split(letters, "")), lambda c: (m - F.length(F.replace(letters, c, F.lit("")))) / m))
+        shares = F.when(n >= 100, F.filter(counts, lambda p: p > 0))
+        return let(shares, lambda ps: let(F.aggregate(ps, F.lit(0.0), lambda a, p: a - p * F.log2(p)), lambda h: of_shares(ps, h)))
+
+    def of_shares(shares: Column, entropy: Column) -> Column:
+        base = F.when(entropy.between(3.2, 5.2), 1.0).when(entropy < 3.2, F.greatest(F.lit(0.0), entropy / 3.2)).otherwise(F.greatest(F.lit(0.0), 1 - (entropy - 5.2) / 3.0))
+        return F.when(shares.isNull(), F.lit(0.5)).otherwise(F.round(base * F.when(F.array_max(shares).between(0.05, 0.30), 1.0).otherwise(0.6), 4))
+
+    return let(F.lower(F.regexp_replace(F.substring(x, 1, limit), r"\P{L}+", "")), of_letters)
 
 
-def known_word_ratio(x: Column | str, tokens: Column, language: Column, script: Column) -> Column:
-    """Share of stop words, or of letters in the script's range for scripts without spaces or vowels. tokens: of the first 20,000 characters."""
+def known_word_ratio(x: Column | str, language: Column, script: Column) -> Column:
+    """Share of stop words in the first 20,000 characters, or of letters in the script's range for scripts without spaces or vowels."""
     part = F.substring(x, 1, 20_000)
     letters = F.regexp_count(part, F.lit(r"\p{L}"))
     share = lambda r: F.when(letters == 0, F.lit(0.0)).otherwise(F.round(F.regexp_count(part, F.lit(r)) / letters, 4))
     family = script_family(script)
     by_language = F.lit(0.5)
     for k in STOPWORDS:
-        by_language = F.when(language == k, F.round(stopword_ratio(tokens, k), 4)).otherwise(by_language)
-    words = F.when(language.isNull() | ~language.isin(*STOPWORDS) | (F.size(tokens) < 20), F.lit(0.5)).otherwise(by_language)
+        by_language = F.when(language == k, F.round(stopword_ratio(F.lower(part), k), 4)).otherwise(by_language)
+    words = F.when(language.isNull() | ~language.isin(*STOPWORDS) | (F.regexp_count(part, F.lit(LETTERS_AND_NUMERALS)) < 20), F.lit(0.5)).otherwise(by_language)
     return F.when(family == "cjk", share(r"[\x{3040}-\x{9FFF}\x{AC00}-\x{D7AF}]")).when(family == "abjad", share(r"[\x{600}-\x{6FF}]")).otherwise(words)
 
 
 def repetition_ratio(x: Column | str) -> Column:
     """Share of repeated lines among those of over 15 characters; 0 for under five of them."""
     lines = F.filter(F.transform(F.split(x, "\n"), strip), lambda s: F.length(s) > 15)
-    return F.when(F.size(lines) < 5, F.lit(0.0)).otherwise(F.round(1 - F.size(F.array_distinct(lines)) / F.size(lines), 4))
+    return let(lines, lambda ls: F.when(F.size(ls) < 5, F.lit(0.0)).otherwise(F.round(1 - F.size(F.array_distinct(ls)) / F.size(ls), 4)))
 
 
 SIGNALS = ["characters", "printable_ratio", "alphabetic_ratio", "char_distribution", "known_word_ratio", "average_word_length", "single_char_token_ratio", "repetition_ratio", "nul_count"]
@@ -217,33 +253,38 @@ SIGNALS = ["characters", "printable_ratio", "alphabetic_ratio", "char_distributi
 
 def with_signals(df: DataFrame, text: str = "text") -> DataFrame:
     """df(text, language, script) with the quality signals as columns."""
-    df = df.withColumn("__tokens", word_tokens(text, 20_000))
-    tokens, n = F.col("__tokens"), F.size("__tokens")
-    letters = F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a + F.length(t))
-    single = F.size(F.filter(tokens, lambda t: F.length(t) == 1))
+    part = F.substring(text, 1, 20_000)
+    count = lambda p: F.regexp_count(part, F.lit(p))
+    n, letters, single = count(LETTERS_AND_NUMERALS), count(LETTER), count(f"(?<!{LETTER}){LETTER}(?!{LETTER})")
     return df.withColumns(
         {
             "characters": F.length(text).cast("double"),
             "printable_ratio": F.round(printable_ratio(text), 4),
             "alphabetic_ratio": F.round(alphabetic_ratio(text), 4),
             "char_distribution": char_distribution(text),
-            "known_word_ratio": known_word_ratio(text, tokens, F.col("language"), F.col("script")),
+            "known_word_ratio": known_word_ratio(text, F.col("language"), F.col("script")),
             "average_word_length": F.when(n == 0, F.lit(0.0)).otherwise(F.round(letters / n, 3)),
             "single_char_token_ratio": F.when(n == 0, F.lit(0.0)).otherwise(F.round(single / n, 4)),
             "repetition_ratio": repetition_ratio(text),
             "nul_count": strip_nul(F.col(text))[1].cast("double"),
         }
-    ).drop("__tokens")
+    )
+
+
+def _distinct_words(x: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(x, " "), lambda w: w != ""))
 
 
 def token_overlap(needle: Column, haystack: Column) -> Column:
     """Distinct words of needle that haystack has, over its distinct words; 0 for an empty needle. Both in comparison form."""
-    words = lambda x: F.array_distinct(F.filter(F.split(x, " "), lambda w: w != ""))
-    n = F.size(words(needle))
-    return F.when(n == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(words(needle), words(haystack))) / n)
+    return let(_distinct_words(needle), lambda a: F.when(F.size(a) == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(a, _distinct_words(haystack))) / F.size(a)))
 
 
 def jaccard(a: Column, b: Column) -> Column:
-    words = lambda x: F.array_distinct(F.filter(F.split(x, " "), lambda w: w != ""))
-    both = F.size(F.array_union(words(a), words(b)))
-    return F.when(both == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(words(a), words(b))) / both)
+    """Shared distinct words over all distinct words; 0 for two empty texts. Both in comparison form."""
+
+    def of(x: Column, y: Column) -> Column:
+        both = F.size(F.array_intersect(x, y))
+        return F.coalesce(F.try_divide(both, F.size(x) + F.size(y) - both), F.lit(0.0))
+
+    return let(_distinct_words(a), lambda x: let(_distinct_words(b), lambda y: of(x, y)))

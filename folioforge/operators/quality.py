@@ -62,8 +62,9 @@ def confidence(df: DataFrame) -> DataFrame:
     base = intrinsic_score(F.col("script"))
     score = F.when(F.size(checks) == 0, base).otherwise((1 - alpha) * base + alpha * drawn)
     basis = F.lit("intrinsic_only")
+    kinds = F.transform(checks, lambda c: c["type"])
     for kind in reversed(BASIS_ORDER):
-        basis = F.when(F.exists(checks, lambda c, k=kind: c["type"] == k), kind).otherwise(basis)
+        basis = F.when(F.array_contains(kinds, kind), kind).otherwise(basis)
     silent = F.coalesce(F.col("characters") == 0, F.lit(True))
     failed = F.transform(F.filter(checks, lambda c: ~c["passed"]), lambda c: F.concat(F.lit("crosscheck_failed:"), c["type"]))
     flags = F.concat(F.coalesce("flags", F.array().cast("array<string>")), failed, F.when(silent, F.array(F.lit("no_text_extracted"))).otherwise(F.array().cast("array<string>")))

@@ -3,20 +3,50 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLE: dict[str, str] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_oracle: dict[str, str] = {}
+MODULES = ("text_queries", "registry_queries", "quality_queries", "table_queries", "vector_queries")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _QUERIES
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its name, with SQL that gives the same rows, where SQL can."""
+
+    def put(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql:
+            _oracle[f.__name__] = sql
+        return f
+
+    return put
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table. Texts that come in fewer splits than there are cores are dealt out first: what follows is work, not reading. Large tables have more splits."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name == "documents" and df.rdd.getNumPartitions() < cores else df
+
+
+def _load() -> None:
+    for m in MODULES:
+        import_module(f"{__package__}.{m}")
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return _ORACLE
+    _load()
+    return dict(_oracle)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Scores of all documents: language, signals, confidence."""
+    return queries()["confidence_scores"](spark, sf_dir)
