@@ -80,7 +80,7 @@ def normalize_date(raw: Column | str) -> Column:
     text = normalize_value(raw)
     pairs = [F.lit(x) for i, names in enumerate(MONTHS, 1) for name in names for x in (name, i)]
     month = F.create_map(*pairs)
-    made = lambda y, m, d: F.date_format(F.try_make_date(y, m, d) if hasattr(F, "try_make_date") else F.make_date(y, m, d), "yyyy-MM-dd")
+    made = lambda y, m, d: F.date_format(F.try_to_date(F.when(y.isNotNull() & m.isNotNull() & d.isNotNull(), F.format_string("%04d-%02d-%02d", y, m, d)), "yyyy-MM-dd"), "yyyy-MM-dd")
     part = lambda p, i: F.try_to_number(F.regexp_extract(text, p, i), F.lit("9999")).cast("int")
     iso, slash, named, worded, year = r"^(\d{4})-(\d{2})-(\d{2})", r"^(\d{1,2})/(\d{1,2})/(\d{4})$", r"^([A-Za-zÀ-ÿ]+)\.?\s+(\d{1,2}),?\s+(\d{4})$", r"(?i)^(\d{1,2})\s+de\s+([A-Za-zÀ-ÿ]+)\s+de\s+(\d{4})$", r"^(\d{4})$"
     out = lambda d, c, w: F.struct(d.cast("string").alias("date"), c.alias("confidence"), w.cast("string").alias("warning"))
