@@ -13,6 +13,8 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import any_of
+
 # Phrases with their labels, and sentences of public licenses.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 TEMPLATES = [
@@ -52,9 +54,8 @@ def _lower_words(text: Column | str) -> Column:
 def word_order(texts: DataFrame, templates: list[tuple[str, str]]) -> list[str]:
     """The templates' words, those rarest in the column `text` first. Only counts of these words reach the driver."""
     words = sorted({w for _, t in templates for w in t.split()})
-    own = F.array(*map(F.lit, words))
-    held = texts.where(F.col("text").rlike("|".join(_phrase(w) for w in words)))
-    seen = held.select(F.explode(F.filter(_lower_words("text"), lambda w: F.array_contains(own, w))).alias("w"))
+    whole = rf"(?<!{_WORD})(?i:{any_of(words)})(?!{_WORD})"
+    seen = texts.select(F.explode(F.regexp_extract_all("text", F.lit(whole), F.lit(0))).alias("w")).select(F.translate("w", _UPPER, _LOWER).alias("w"))
     counts = {r["w"]: r["n"] for r in seen.groupBy("w").agg(F.count("*").alias("n")).collect()}
     return sorted(words, key=lambda w: (counts.get(w, 0), w))
 
@@ -71,7 +72,7 @@ def join_templates(texts: DataFrame, keys: list[str], templates: list[tuple[str,
     first = sorted({r for r, *_ in index})
     words = [w for w in rank if rank[w] in set(first)]
     known = F.create_map(*(F.lit(x) for w, i in rank.items() for x in (w, i)))
-    pattern = rf"(?<!{_WORD})(?i:" + "|".join(words) + rf")(?!{_WORD})"
+    pattern = rf"(?<!{_WORD})(?i:{any_of(words)})(?!{_WORD})"
     lines = texts.where(F.col("text").rlike(pattern)).select(*keys, F.explode(F.filter(F.split("text", "\n"), lambda x: x.rlike(pattern))).alias("line"))
     sized = lines.select(*keys, F.array_distinct(_lower_words("line")).alias("words"))
     ranks = F.array_sort(F.transform(F.filter("words", lambda w: F.map_contains_key(known, w)), lambda w: known[w]))
