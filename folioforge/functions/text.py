@@ -63,6 +63,11 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def count_chars(x: Column | str, of: str) -> Column:
+    """How many characters of a class a text has: by the length it loses, as counting matches would build each of them."""
+    return F.length(x) - F.length(F.regexp_replace(x, f"[{of}]+", ""))
+
+
 def any_of(words: list[str]) -> str:
     """A pattern of some words that tries shared beginnings once. It matches the longest word that what follows allows."""
     import re
@@ -140,8 +145,8 @@ def script_counts(x: Column | str, limit: int = 200_000) -> Column:
     Texts of Latin letters only, the usual case, cost two passes.
     """
     part = F.substring(x, 1, limit)
-    letters = F.regexp_count(part, F.lit(r"\p{L}"))
-    of = {s: F.regexp_count(part, F.lit(rf"[{r}&&\p{{L}}]")) for s, r in SCRIPT_RANGES.items()}
+    letters = count_chars(part, r"\p{L}")
+    of = {s: count_chars(part, rf"{r}&&\p{{L}}") for s, r in SCRIPT_RANGES.items()}
     entry = lambda s, n: F.struct(F.lit(s).alias("script"), n.cast("long").alias("n"))
     known = F.array(*(entry(s, n) for s, n in of.items()))
     rest = letters - sum(of.values(), F.lit(0))
@@ -205,12 +210,12 @@ def with_language(df: DataFrame, text: str = "text") -> DataFrame:
 
 def printable_ratio(x: Column | str) -> Column:
     n = F.length(x)
-    return F.when(n == 0, F.lit(0.0)).otherwise(1 - F.regexp_count(x, F.lit(r"[\p{C}&&[^\n\t]]")) / n)
+    return F.when(n == 0, F.lit(0.0)).otherwise(1 - count_chars(x, r"\p{C}&&[^\n\t]") / n)
 
 
 def alphabetic_ratio(x: Column | str) -> Column:
     n = F.length(x)
-    return F.when(n == 0, F.lit(0.0)).otherwise(F.regexp_count(x, F.lit(r"\p{L}")) / n)
+    return F.when(n == 0, F.lit(0.0)).otherwise(count_chars(x, r"\p{L}") / n)
 
 
 def char_distribution(x: Column | str, limit: int = 50_000) -> Column:
@@ -232,14 +237,14 @@ def char_distribution(x: Column | str, limit: int = 50_000) -> Column:
 def known_word_ratio(x: Column | str, language: Column, script: Column) -> Column:
     """Share of stop words in the first 20,000 characters, or of letters in the script's range for scripts without spaces or vowels."""
     part = F.substring(x, 1, 20_000)
-    letters = F.regexp_count(part, F.lit(r"\p{L}"))
-    share = lambda r: F.when(letters == 0, F.lit(0.0)).otherwise(F.round(F.regexp_count(part, F.lit(r)) / letters, 4))
+    letters = count_chars(part, r"\p{L}")
+    share = lambda r: F.when(letters == 0, F.lit(0.0)).otherwise(F.round(count_chars(part, r) / letters, 4))
     family = script_family(script)
     by_language = F.lit(0.5)
     for k in STOPWORDS:
         by_language = F.when(language == k, F.round(stopword_ratio(F.lower(part), k), 4)).otherwise(by_language)
     words = F.when(language.isNull() | ~language.isin(*STOPWORDS) | (F.regexp_count(part, F.lit(LETTERS_AND_NUMERALS)) < 20), F.lit(0.5)).otherwise(by_language)
-    return F.when(family == "cjk", share(r"[\x{3040}-\x{9FFF}\x{AC00}-\x{D7AF}]")).when(family == "abjad", share(r"[\x{600}-\x{6FF}]")).otherwise(words)
+    return F.when(family == "cjk", share(r"\x{3040}-\x{9FFF}\x{AC00}-\x{D7AF}")).when(family == "abjad", share(r"\x{600}-\x{6FF}")).otherwise(words)
 
 
 def repetition_ratio(x: Column | str) -> Column:
@@ -255,7 +260,7 @@ def with_signals(df: DataFrame, text: str = "text") -> DataFrame:
     """df(text, language, script) with the quality signals as columns."""
     part = F.substring(text, 1, 20_000)
     count = lambda p: F.regexp_count(part, F.lit(p))
-    n, letters, single = count(LETTERS_AND_NUMERALS), count(LETTER), count(f"(?<!{LETTER}){LETTER}(?!{LETTER})")
+    n, letters, single = count(LETTERS_AND_NUMERALS), count_chars(part, r"\p{L}\p{Nl}\p{No}"), count(f"(?<!{LETTER}){LETTER}(?!{LETTER})")
     return df.withColumns(
         {
             "characters": F.length(text).cast("double"),

@@ -34,7 +34,7 @@ CHUNK = "doc_id string, chunk_id string, position int, num_tokens int, text stri
 
 
 def count_tokens(text: str) -> int:
-    return sum(1 for _ in _token.finditer(text))
+    return len(_token.findall(text))
 
 
 def is_abbreviation(text: str, at: int) -> bool:
@@ -117,7 +117,7 @@ class Draft:
             "doc_id": doc_id,
             "chunk_id": f"{doc_id}-chunk-{position:04d}",
             "position": position,
-            "num_tokens": count_tokens(text),
+            "num_tokens": self.tokens,
             "text": text,
             "block_ids": [b["block_id"] for b in blocks],
             "block_types": [b["type"] for b in blocks],
@@ -160,7 +160,7 @@ def chunk_blocks(doc_id: str, blocks: list[dict], most: int = MAX_TOKENS) -> lis
                 draft = emit(draft)
             if heading and not draft.parts and heading[2] >= most:
                 for part in cut_hard(heading[1], most):
-                    emit(Draft([(part, heading[0])], strategy="hard_token_split"))
+                    emit(Draft([(part, heading[0])], count_tokens(part), "hard_token_split"))
                 heading = None
             if way == "hard_token_split" or (way == "paragraph" and draft.strategy == "sentence"):
                 draft.strategy = way
