@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.metadata import extension, first_present, is_success, standard_name, stem
+from ..functions.metadata import extension, is_success, standard_name, stem
 
 # First bytes of formats, as hex, and the format that an extension promises.
 SIGNATURES = [("25504446", "pdf"), ("89504E470D0A1A0A", "png"), ("FFD8FF", "jpeg"), ("474946383761", "gif"), ("474946383961", "gif"), ("504B0304", "zip"), ("1F8B", "gzip")]
@@ -158,8 +158,6 @@ def match_gold(gold: DataFrame, documents: DataFrame, codes: list[str]) -> DataF
     return gold.join(best, ["question", "name"], "left")
 
 
-def first_text(*columns: Column) -> Column:
-    return first_present(*columns)
 
 
 def expectations(actual: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:

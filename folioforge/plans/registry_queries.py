@@ -144,3 +144,34 @@ def expectation_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = lambda d: d.groupBy("source").agg(F.count("*").alias("n"))
     d = read(spark, sf_dir, "documents")
     return R.expectations(n(d.where("doc_id % 50 <> 0")), n(d), ["source"])
+
+
+@query("""select doc_id, case when doc_id % 4 = 3 then null when doc_id % 4 = 1 then 'x/CD_paper-' || doc_id || '.pdf' else 'x/AB_paper-' || doc_id || '.pdf' end as path from documents""")
+def gold_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    d = read(spark, sf_dir, "documents")
+    disk = d.select(F.concat(F.lit("x/"), F.when(i % 4 == 1, "CD_").otherwise("AB_"), F.lit("paper-"), i, F.lit(".pdf")).alias("path"))
+    gold = d.select(i.alias("question"), F.when(i % 4 == 0, F.concat(F.lit("ab_PAPER-"), i, F.lit(".pdf"))).when(i % 4 == 3, "unknown.pdf").otherwise(F.concat(F.lit("Paper "), i, F.lit(".pdf"))).alias("name"))
+    return R.match_gold(gold, disk, ["AB", "CD"]).select(F.col("question").alias("doc_id"), "path")
+
+
+@query("select user_id as code, arg_max(event_type, event_id) as event_type from events group by 1")
+def latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.json_docs import latest_alert
+
+    return latest_alert(read(spark, sf_dir, "events").select(F.col("user_id").alias("code"), F.col("event_id").alias("ord"), "event_type")).select("code", "event_type")
+
+
+@query("select o_orderkey as doc_id from orders where o_orderkey % 2 = 0 and o_orderkey not in (select l_orderkey from lineitem)")
+def dangling_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.files import dangling_blocks as dangling
+
+    docs = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), (1 - F.col("o_orderkey") % 2).alias("block_count"))
+    return dangling(docs, read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"))).select("doc_id")
+
+
+@query(f"with {FILES} select doc_id, case when contains(path, 'pubmed') then 'biblio' when ext = '.pdf' then 'pdf' when ext = '.json' then 'json' when ext = '.csv' then 'table' when ext = '.xlsx' then 'workbook' when ext = '.txt' then 'text' when ext = '.pbf' then 'tile' when ext = '.jpg' then 'image' end as reader from files")
+def file_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.ingest import route
+
+    return route(_files(spark, sf_dir), {"pubmed": "biblio"}).select("doc_id", "reader")

@@ -151,3 +151,24 @@ def pdf_page_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read(spark, sf_dir, "region")
     return r.select("r_regionkey", F.to_json(F.struct("r_regionkey", "r_name"), {"ignoreNullFields": "true"}).alias("value"))
+
+
+@query("select 'r' || (event_id % 12) as reason, count(*) as n from events where event_id % 3 = 0 group by 1 order by n desc, reason limit 10")
+def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.ingest import quarantine
+
+    e = read(spark, sf_dir, "events").where("event_id % 3 = 0")
+    return quarantine(e.select(F.lit("review").alias("action"), F.array(F.concat(F.lit("r"), F.col("event_id") % 12)).alias("reasons")))[1]
+
+
+@query("""with p as (select doc_id as path, cast(floor(n_chars * (doc_id % 10) / 10.0) as bigint) as extracted, n_chars as reference from documents)
+ select path, extracted, reference, round(extracted / reference, 6) as ratio from p where reference > 2000 and extracted / reference < 0.95 order by extracted / reference, path limit 25""")
+def low_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").withColumn("path", F.col("doc_id"))
+    pairs = reports.fidelity(d.select("path", F.floor(F.col("n_chars") * (F.col("doc_id") % 10) / 10.0).cast("long").alias("extracted")), d.select("path", F.col("n_chars").alias("reference")))
+    return reports.low_fidelity(pairs).withColumn("ratio", F.round("ratio", 6))
+
+
+@query("select p_partkey, p_size * 10 > 50 and p_size * 10 > 5 * (p_partkey % 60) as abandoned from part")
+def abandoned_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select("p_partkey", tabular.abandoned_sheet(F.col("p_size") * 10, F.col("p_partkey") % 60).alias("abandoned"))
