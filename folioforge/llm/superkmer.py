@@ -184,7 +184,8 @@ def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     no_id = F.lit(-(1 << 63))
     kept = docs.select(F.coalesce(F.col(id_col).cast("long"), no_id).alias("did"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     rows = map_arrow(kept, _rows, "key long, did long, th long, start int, n int")
-    often = rows.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
+    # Kept as a table, so that the join below deals both sides itself and Spark can split a bucket that is in many rows.
+    often = cut(rows.groupBy("key").agg(F.count("*").alias("times")).where("times > 1"))
     flagged = rows.join(often, "key").select("did", "th", F.struct("key", "start", "n", (F.col("times") > HOT).alias("hot")).alias("x"))
     of_doc = cut(flagged.groupBy("did", "th").agg(F.collect_set("x").alias("own")))
     texts = kept.repartition("did", "th")  # dealt once: both joins reuse it
