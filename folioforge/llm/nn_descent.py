@@ -33,8 +33,9 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def by_group(keys: list[str], f: Callable[[pd.DataFrame], pd.DataFrame | None], at_least: int = 1) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """For mapInPandas over partitions sorted by keys: f on the rows of each key, if there are as many as that."""
+def by_group(keys: list[str], f: Callable[[pd.DataFrame], pd.DataFrame | None], at_least: int = 1, most: int | None = None, overlap: int = 0) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For mapInPandas over partitions sorted by keys: f on the rows of each key, if there are as many as that. A key with more
+    than most rows comes in several parts that share overlap rows, so that memory stays bounded."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest, out, size = None, [], 0
@@ -50,6 +51,11 @@ def by_group(keys: list[str], f: Callable[[pd.DataFrame], pd.DataFrame | None],
                         yield pd.concat(out, ignore_index=True)
                         out, size = [], 0
             rest = rest.iloc[edges[-1] :].reset_index(drop=True)
+            if most and len(rest) > most:
+                if (found := f(rest)) is not None:
+                    out.append(found)
+                    size += len(found)
+                rest = rest.iloc[len(rest) - overlap :].reset_index(drop=True)
         if rest is not None and len(rest) >= at_least and (found := f(rest)) is not None:
             out.append(found)
         if out:
@@ -103,7 +109,7 @@ def _leaves(nodes: DataFrame, n: int, first: int, trees: int, guide: float) -> D
     keys = ["tree", "dim", "leaf"]
     # Blocks of a leaf are cut by a random direction, so that a leaf with many copies is dealt over tasks.
     coded = coded.withColumn("part", F.floor(F.col("along") * 8))
-    return coded.repartition(*keys, "part").sortWithinPartitions(*keys, "part", "along").mapInPandas(by_group([*keys, "part"], meet, 2), "a long, b long, c double")
+    return coded.repartition(*keys, "part").sortWithinPartitions(*keys, "part", "along").mapInPandas(by_group([*keys, "part"], meet, 2, 32 * LEAF, 2 * LEAF), "a long, b long, c double")
 
 
 def _best(edges: DataFrame) -> DataFrame:
