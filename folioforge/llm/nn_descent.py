@@ -2,8 +2,9 @@
 
 Trees of random hyperplanes give each vector its first neighbours. Rounds then join the neighbours of each vector with one another and
 keep the nearest. Only neighbours that can stand between two linked vectors are kept: by the triangle inequality two
-vectors that link with a third are at most twice the threshold's angle apart. Pairs at or above the threshold are links. A list that is full of
-links is saturated; lists are then enlarged to the whole linked component, where every direct link is counted in blocks.
+vectors that link with a third are at most twice the threshold's angle apart. Pairs at or above the threshold are links.
+Lists are bounded, links aren't: wherever vectors meet, all their links join them to linked sets, kept apart from the lists. The sets
+make components, in which every direct link is counted in blocks.
 A bounded sample of vectors is compared with all others; if too few of its links were found, more trees are grown.
 """
 
@@ -28,6 +29,10 @@ NEIGHBOURS, LEAF, BLOCK, ROUNDS, SETTLED = 16, 128, 512, 6, 0.01
 TREES_FOR, RECALL, AUDITED, AGAIN = 0.999, 0.98, 512, 3
 
 
+#: Rows that meetings give: neighbours with their cosine, or (link) two rows of one linked set.
+MET = "a long, b long, c double, link boolean"
+
+
 def _unit(vectors: pd.Series) -> np.ndarray:
     x = np.array(vectors.tolist(), np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -64,10 +69,24 @@ def by_group(keys: list[str], f: Callable[[pd.DataFrame], pd.DataFrame | None],
     return run
 
 
-def _nearest(ids: np.ndarray, unit: np.ndarray, guide: float, keep: int) -> pd.DataFrame:
-    """Up to keep neighbours of each row at guide or nearer."""
+def _roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """For each of n rows: the first row of its linked set, the links (i, j) being given in both directions."""
+    root = np.arange(n)
+    while True:
+        least = root.copy()
+        np.minimum.at(least, i, root[j])
+        least = least[least]
+        if (least == root).all():
+            return root
+        root = least
+
+
+def _nearest(ids: np.ndarray, unit: np.ndarray, guide: float, threshold: float, keep: int) -> pd.DataFrame:
+    """Up to keep neighbours of each row at guide or nearer, and (link) the first row of each row's linked set, from all links."""
     c = unit @ unit.T
     np.fill_diagonal(c, -2)
+    root = _roots(*np.nonzero(c >= threshold), len(ids))
+    joined = np.flatnonzero(root != np.arange(len(ids)))
     if keep < len(ids) - 1:
         top = np.argpartition(-c, keep, axis=1)[:, :keep]
         a = np.repeat(np.arange(len(ids)), keep)
@@ -76,7 +95,7 @@ def _nearest(ids: np.ndarray, unit: np.ndarray, guide: float, keep: int) -> pd.D
         a, b = np.divmod(np.arange(len(ids) ** 2), len(ids))
     near = c[a, b] >= guide
     a, b = a[near], b[near]
-    return pd.DataFrame({"a": ids[a], "b": ids[b], "c": c[a, b]})
+    return pd.DataFrame({"a": ids[np.r_[a, joined]], "b": ids[np.r_[b, root[joined]]], "c": np.r_[c[a, b], np.zeros(len(joined))], "link": np.arange(len(a) + len(joined)) >= len(a)})
 
 
 def trees_needed(bits: int, threshold: float, recall: float) -> int:
@@ -85,8 +104,8 @@ def trees_needed(bits: int, threshold: float, recall: float) -> int:
     return 1 if met >= recall else ceil(log(1 - recall) / log(1 - met))
 
 
-def _leaves(nodes: DataFrame, n: int, first: int, trees: int, guide: float) -> DataFrame:
-    """Neighbours (a, b, c) met in the leaves of some trees."""
+def _leaves(nodes: DataFrame, n: int, first: int, trees: int, guide: float, threshold: float) -> DataFrame:
+    """Neighbours and links (a, b, c, link) met in the leaves of some trees."""
     bits = max(0, ceil(log2(max(1, n / LEAF))))
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -101,7 +120,7 @@ def _leaves(nodes: DataFrame, n: int, first: int, trees: int, guide: float) -> D
     def meet(x: pd.DataFrame) -> pd.DataFrame:
         ids, unit, out = x["node"].to_numpy(), _unit(x["v"]), []
         for a in range(0, max(1, len(ids) - LEAF), LEAF):  # large leaves in blocks that overlap by half
-            out.append(_nearest(ids[a : a + 2 * LEAF], unit[a : a + 2 * LEAF], guide, NEIGHBOURS))
+            out.append(_nearest(ids[a : a + 2 * LEAF], unit[a : a + 2 * LEAF], guide, threshold, NEIGHBOURS))
         return pd.concat(out)
 
     kind = nodes.schema["v"].dataType.simpleString()
@@ -109,7 +128,7 @@ def _leaves(nodes: DataFrame, n: int, first: int, trees: int, guide: float) -> D
     keys = ["tree", "dim", "leaf"]
     # Blocks of a leaf are cut by a random direction, so that a leaf with many copies is dealt over tasks.
     coded = coded.withColumn("part", F.floor(F.col("along") * 8))
-    return coded.repartition(*keys, "part").sortWithinPartitions(*keys, "part", "along").mapInPandas(by_group([*keys, "part"], meet, 2, 32 * LEAF, 2 * LEAF), "a long, b long, c double")
+    return coded.repartition(*keys, "part").sortWithinPartitions(*keys, "part", "along").mapInPandas(by_group([*keys, "part"], meet, 2, 32 * LEAF, 2 * LEAF), MET)
 
 
 def _best(edges: DataFrame) -> DataFrame:
@@ -118,18 +137,17 @@ def _best(edges: DataFrame) -> DataFrame:
     return one.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("c"), "b"))).where(F.col("r") <= NEIGHBOURS).drop("r")
 
 
-def _descend(graph: DataFrame, nodes: DataFrame, guide: float) -> DataFrame:
-    """One round: the neighbours of each node, in either direction, are joined with one another."""
+def _descend(graph: DataFrame, nodes: DataFrame, guide: float, threshold: float) -> DataFrame:
+    """One round: the neighbours of each node, in either direction, are joined with one another: what (a, b, c, link) they meet."""
     back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "c")
     back = back.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("b")))).where(F.col("r") <= NEIGHBOURS).drop("r")
     members = graph.unionByName(back).select("a", "b").distinct().unionByName(graph.select("a", F.col("a").alias("b")).distinct())
     rows = members.join(nodes.select(F.col("node").alias("b"), "v"), "b").select(F.col("a").alias("center"), F.col("b").alias("node"), "v")
 
     def join(x: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(x["node"].to_numpy(), _unit(x["v"]), guide, NEIGHBOURS)
+        return _nearest(x["node"].to_numpy(), _unit(x["v"]), guide, threshold, NEIGHBOURS)
 
-    found = rows.repartition("center").sortWithinPartitions("center").mapInPandas(by_group(["center"], join, 3), "a long, b long, c double")
-    return _best(graph.unionByName(found))
+    return rows.repartition("center").sortWithinPartitions("center").mapInPandas(by_group(["center"], join, 3), MET)
 
 
 def _audit(nodes: DataFrame, n: int, threshold: float) -> DataFrame:
@@ -171,31 +189,35 @@ def _count_links(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def graph_of(nodes: DataFrame, n: int, threshold: float = THRESHOLD) -> tuple[DataFrame, float]:
-    """Neighbours (a, b, c) of nodes(node, v), and the recall of links that the audit measured, before its own links were added."""
+    """Rows (a, b) that make the linked components of nodes(node, v), and the recall of links that the audit measured, before its own links were added."""
     guide = cos(min(pi, 2 * acos(threshold))) - 1e-9
     bits = max(0, ceil(log2(max(1, n / LEAF))))
     trees = trees_needed(bits, threshold, TREES_FOR)
     truth = cut(_audit(nodes, n, threshold))
     links = truth.count()
-    graph, first, recall = None, 0, 1.0
+    graph, links_met, first, recall = None, None, 0, 1.0
+    lists, ends_of = (lambda met: met.where(~F.col("link")).drop("link")), (lambda met: met.where("link").select("a", "b").distinct())
     for _ in range(AGAIN):
-        met = _leaves(nodes, n, first, trees, guide)
-        graph = cut(_best(met if graph is None else graph.unionByName(met)))
+        met = cut(_leaves(nodes, n, first, trees, guide, threshold))
+        graph = cut(_best(lists(met) if graph is None else graph.unionByName(lists(met))))
+        links_met = ends_of(met) if links_met is None else links_met.unionByName(ends_of(met))
         first += trees
         seen = graph.agg(F.count("*"), F.sum("c")).first()
         for _ in range(ROUNDS):
-            graph = cut(_descend(graph, nodes, guide))
+            met = cut(_descend(graph, nodes, guide, threshold))
+            graph, links_met = cut(_best(graph.unionByName(lists(met)))), links_met.unionByName(ends_of(met))
             now = graph.agg(F.count("*"), F.sum("c")).first()
             if not now[0] or now[0] - (seen[0] or 0) + (now[1] - (seen[1] or 0)) <= SETTLED * now[0]:
                 break
             seen = now
-        # A link is found if both ends are in one linked component: lists may be shorter than the links.
-        found = connected_components(graph.where(F.col("c") >= threshold).select("a", "b"))
+        # A link is found if both ends are in one linked component: linked sets don't hold every link.
+        links_met = cut(links_met.distinct())
+        found = connected_components(links_met)
         ends = truth.join(found.select(F.col("node").alias("a"), F.col("component").alias("x")), "a").join(found.select(F.col("node").alias("b"), F.col("component").alias("y")), "b")
         recall = ends.where("x = y").count() / links if links else 1.0
         if recall >= RECALL:
             break
-    return graph.unionByName(truth), recall
+    return links_met.unionByName(truth.select("a", "b")), recall
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
@@ -211,8 +233,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     nodes = own.where(usable).groupBy("v").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least")).withColumn("node", F.monotonically_increasing_id())
     nodes = cut(nodes)
     n = nodes.count()
-    graph, _ = graph_of(nodes, n, threshold)
-    parts = connected_components(graph.where(F.col("c") >= threshold).select("a", "b"))
+    linked, _ = graph_of(nodes, n, threshold)
+    parts = connected_components(linked)
     members = nodes.join(parts, "node")
     counts = _count_links(members.select("component", "node", "v", "weight"), threshold)
     least = members.groupBy("component").agg(F.min("least").alias("first"))

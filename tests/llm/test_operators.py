@@ -282,6 +282,37 @@ def test_neighbours(spark):
     assert nn_descent.near_duplicates(table.limit(0)).count() == 0
 
 
+def neighbours_off(spark, monkeypatch, x):
+    """Unit vectors x through op8 without the audit's own links: (wrong rows, wrong n_links and components) against brute force."""
+    monkeypatch.setattr(nn_descent, "AUDITED", 0)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    comp = components_of(len(x), list(zip(*np.nonzero(near), strict=True)))
+    least = {}
+    for i, c in enumerate(comp):
+        least.setdefault(c, i)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicates(table).collect()}
+    return {i for i in range(len(x)) if got[i] != (near[i].sum(), least[comp[i]])}, near
+
+
+def unit_rows(x):
+    return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+
+def test_two_linked_tight_groups_fill_their_lists(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    groups = []
+    for _ in range(6):
+        u, w = np.linalg.qr(rng.normal(size=(64, 2)))[0].T
+        for center in (u, 0.968 * u + np.sqrt(1 - 0.968**2) * w):
+            groups.append(unit_rows(center + rng.normal(scale=0.05 / 8, size=(20, 64))))
+    x = np.concatenate([*groups, unit_rows(rng.normal(size=(1000, 64)))])
+    off, near = neighbours_off(spark, monkeypatch, x)
+    assert near[:20, 20:40].all() and near[:20, :20].sum() == 380
+    assert not off
+
+
 def plain_license(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     at = sorted((i, label) for p, label in license_join.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
