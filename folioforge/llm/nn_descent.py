@@ -25,6 +25,8 @@ from .components import connected_components
 THRESHOLD = 0.95
 #: Length of a neighbour list, vectors of a leaf, of a block, rounds at most, share of new entries that ends the rounds.
 NEIGHBOURS, LEAF, BLOCK, ROUNDS, SETTLED = 16, 128, 512, 6, 0.01
+#: Vectors of a block of a large leaf.
+LEAF_BLOCK = 2048
 #: Recall that the trees are grown for, that the audit asks for, vectors in the audit's sample, times that more trees are grown.
 TREES_FOR, RECALL, AUDITED, AGAIN = 0.999, 0.98, 512, 3
 
@@ -38,9 +40,8 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def by_group(keys: list[str], f: Callable[[pd.DataFrame], pd.DataFrame | None], at_least: int = 1, most: int | None = None, overlap: int = 0) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """For mapInPandas over partitions sorted by keys: f on the rows of each key, if there are as many as that. A key with more
-    than most rows comes in several parts that share overlap rows, so that memory stays bounded."""
+def by_group(keys: list[str], f: Callable[[pd.DataFrame], pd.DataFrame | None], at_least: int = 1) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For mapInPandas over partitions sorted by keys: f on the rows of each key, if there are as many as that."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest, out, size = None, [], 0
@@ -56,11 +57,6 @@ def by_group(keys: list[str], f: Callable[[pd.DataFrame], pd.DataFrame | None],
                         yield pd.concat(out, ignore_index=True)
                         out, size = [], 0
             rest = rest.iloc[edges[-1] :].reset_index(drop=True)
-            if most and len(rest) > most:
-                if (found := f(rest)) is not None:
-                    out.append(found)
-                    size += len(found)
-                rest = rest.iloc[len(rest) - overlap :].reset_index(drop=True)
         if rest is not None and len(rest) >= at_least and (found := f(rest)) is not None:
             out.append(found)
         if out:
@@ -81,31 +77,41 @@ def _roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         root = least
 
 
-def _nearest(ids: np.ndarray, unit: np.ndarray, guide: float, threshold: float, keep: int) -> pd.DataFrame:
-    """Up to keep neighbours of each row at guide or nearer, and (link) the first row of each row's linked set, from all links."""
-    c = unit @ unit.T
-    np.fill_diagonal(c, -2)
-    root = _roots(*np.nonzero(c >= threshold), len(ids))
-    joined = np.flatnonzero(root != np.arange(len(ids)))
-    if keep < len(ids) - 1:
-        top = np.argpartition(-c, keep, axis=1)[:, :keep]
-        a = np.repeat(np.arange(len(ids)), keep)
-        b = top.ravel()
-    else:
-        a, b = np.divmod(np.arange(len(ids) ** 2), len(ids))
-    near = c[a, b] >= guide
-    a, b = a[near], b[near]
-    return pd.DataFrame({"a": ids[np.r_[a, joined]], "b": ids[np.r_[b, root[joined]]], "c": np.r_[c[a, b], np.zeros(len(joined))], "link": np.arange(len(a) + len(joined)) >= len(a)})
+def _nearest(ids: np.ndarray, unit: np.ndarray, guide: float, threshold: float, keep: int, right: np.ndarray | None = None) -> pd.DataFrame:
+    """Up to keep neighbours of each row at guide or nearer, and (link) the first row of each row's linked set, from all links.
+    With right, only rows of which one is right and one isn't are compared."""
+    n = len(ids)
+    sides = [(np.arange(n), np.arange(n))] if right is None else [(np.flatnonzero(~right), np.flatnonzero(right))]
+    c = unit[sides[0][0]] @ unit[sides[0][1]].T
+    if right is None:
+        np.fill_diagonal(c, -2)
+    i, j = np.nonzero(c >= threshold)
+    i, j = sides[0][0][i], sides[0][1][j]
+    root = _roots(np.r_[i, j], np.r_[j, i], n)
+    joined = np.flatnonzero(root != np.arange(n))
+    a, b, cs = [joined], [root[joined]], [np.zeros(len(joined))]
+    for own, others, m in [(*sides[0], c)] + ([] if right is None else [(*sides[0][::-1], c.T)]):
+        if keep < m.shape[1]:
+            y = np.argpartition(-m, keep, axis=1)[:, :keep].ravel()
+            x = np.repeat(np.arange(m.shape[0]), keep)
+        else:
+            x, y = np.divmod(np.arange(m.size), max(1, m.shape[1]))
+        near = m[x, y] >= guide
+        x, y = x[near], y[near]
+        a, b, cs = [*a, own[x]], [*b, others[y]], [*cs, m[x, y]]
+    a, b = np.concatenate(a), np.concatenate(b)
+    return pd.DataFrame({"a": ids[a], "b": ids[b], "c": np.concatenate(cs), "link": np.arange(len(a)) < len(joined)})
 
 
 def trees_needed(bits: int, threshold: float, recall: float) -> int:
-    """Trees after which a pair just at the threshold has met in a leaf with that probability."""
+    """Trees after which a pair just at the threshold has met in a leaf with that probability: all vectors of a leaf meet."""
     met = (1 - acos(threshold) / pi) ** bits
     return 1 if met >= recall else ceil(log(1 - recall) / log(1 - met))
 
 
 def _leaves(nodes: DataFrame, n: int, first: int, trees: int, guide: float, threshold: float) -> DataFrame:
-    """Neighbours and links (a, b, c, link) met in the leaves of some trees."""
+    """Neighbours and links (a, b, c, link) met in the leaves of some trees. All vectors of a leaf meet, block against block in a
+    large one."""
     bits = max(0, ceil(log2(max(1, n / LEAF))))
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,22 +119,27 @@ def _leaves(nodes: DataFrame, n: int, first: int, trees: int, guide: float, thre
             for dim, own in x.groupby(x["v"].map(len)):
                 unit = _unit(own["v"])
                 for t in range(first, first + trees):
-                    planes = np.random.default_rng([t, dim]).normal(size=(dim, bits + 1))
-                    side = unit @ planes
-                    yield pd.DataFrame({"tree": t, "dim": dim, "leaf": ((side[:, :bits] > 0) @ (1 << np.arange(bits))).astype(np.int64), "along": side[:, bits], "node": own["node"].to_numpy(), "v": own["v"].to_numpy()})
+                    planes = np.random.default_rng([t, dim]).normal(size=(dim, bits))
+                    yield pd.DataFrame({"tree": t, "dim": dim, "leaf": ((unit @ planes > 0) @ (1 << np.arange(bits))).astype(np.int64), "node": own["node"].to_numpy(), "v": own["v"].to_numpy()})
+
+    def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in code(batches):
+            yield x.groupby(keys).size().reset_index(name="n")
 
     def meet(x: pd.DataFrame) -> pd.DataFrame:
-        ids, unit, out = x["node"].to_numpy(), _unit(x["v"]), []
-        for a in range(0, max(1, len(ids) - LEAF), LEAF):  # large leaves in blocks that overlap by half
-            out.append(_nearest(ids[a : a + 2 * LEAF], unit[a : a + 2 * LEAF], guide, threshold, NEIGHBOURS))
-        return pd.concat(out)
+        right = None if x["i"].iloc[0] == x["j"].iloc[0] else x["right"].to_numpy()
+        return _nearest(x["node"].to_numpy(), _unit(x["v"]), guide, threshold, NEIGHBOURS, right)
 
-    kind = nodes.schema["v"].dataType.simpleString()
-    coded = nodes.select("node", "v").mapInPandas(code, f"tree int, dim int, leaf long, along double, node long, v {kind}")
     keys = ["tree", "dim", "leaf"]
-    # Blocks of a leaf are cut by a random direction, so that a leaf with many copies is dealt over tasks.
-    coded = coded.withColumn("part", F.floor(F.col("along") * 8))
-    return coded.repartition(*keys, "part").sortWithinPartitions(*keys, "part", "along").mapInPandas(by_group([*keys, "part"], meet, 2, 32 * LEAF, 2 * LEAF), MET)
+    kind = nodes.schema["v"].dataType.simpleString()
+    coded = nodes.select("node", "v").mapInPandas(code, f"tree int, dim int, leaf long, node long, v {kind}")
+    counted = nodes.select("node", "v").mapInPandas(sizes, "tree int, dim int, leaf long, n long").groupBy(*keys).agg(F.ceil(F.sum("n") / LEAF_BLOCK).cast("int").alias("blocks"))
+    # There are at most n * trees / LEAF_BLOCK leaves of more than one block.
+    placed = coded.join(F.broadcast(counted.where("blocks > 1")), keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = placed.select(*keys, "node", "v", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    rows = rows.select(*keys, F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).alias("right"), "node", "v")
+    return rows.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j").mapInPandas(by_group([*keys, "i", "j"], meet, 2), MET)
 
 
 def _best(edges: DataFrame) -> DataFrame:

@@ -313,6 +313,18 @@ def test_two_linked_tight_groups_fill_their_lists(spark, monkeypatch):
     assert not off
 
 
+def test_isolated_pairs_meet_in_the_leaves(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "LEAF_BLOCK", 160, raising=False)  # so that some leaves have several blocks
+    rng = np.random.default_rng(22)
+    u = unit_rows(rng.normal(size=(400, 64)))
+    w = rng.normal(size=(400, 64))
+    w = unit_rows(w - (w * u).sum(axis=1, keepdims=True) * u)
+    cosine = rng.uniform(0.951, 0.97, size=(400, 1))
+    off, near = neighbours_off(spark, monkeypatch, np.concatenate([u, cosine * u + np.sqrt(1 - cosine**2) * w, unit_rows(rng.normal(size=(2000, 64)))]))
+    assert near.sum() == 800
+    assert len(off) <= 8, len(off)
+
+
 def plain_license(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     at = sorted((i, label) for p, label in license_join.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
