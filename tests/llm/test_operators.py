@@ -325,6 +325,19 @@ def test_isolated_pairs_meet_in_the_leaves(spark, monkeypatch):
     assert len(off) <= 8, len(off)
 
 
+def test_audit_measures_and_adds_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(23)
+    u = unit_rows(rng.normal(size=(700, 16)))
+    x = np.concatenate([u, unit_rows(u[:40] + rng.normal(scale=0.02, size=(40, 16)))])
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, v array<double>")
+    linked, recall = nn_descent.graph_of(nodes, len(x))
+    assert recall >= nn_descent.RECALL and linked.count() > 0
+    leaves = nn_descent._leaves
+    monkeypatch.setattr(nn_descent, "_leaves", lambda *a: leaves(*a).limit(0))
+    with pytest.raises(RuntimeError, match="audited links"):
+        nn_descent.graph_of(nodes, len(x))
+
+
 def plain_license(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     at = sorted((i, label) for p, label in license_join.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
