@@ -15,7 +15,7 @@ from .registry import query, read
 def _json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as JSON of six shapes, by their number."""
     i = F.col("doc_id")
-    line = F.transform(F.split("text", "\n"), lambda x: F.substring(x, 1, 200))
+    line = F.split("text", "\n")
     title = F.concat(F.lit("Title "), i.cast("string"))
     alert = F.to_json(F.struct(title.alias("title"), F.struct(F.concat((i % 400).cast("string"), F.lit("-21")).alias("codigo"), F.lit(" Key topic ").alias("tema_clave"), F.lit("2021-05-06").alias("fecha_emision"), F.concat(F.lit("Aldea (Norte); Villa (Sur); aldea (norte); M"), i.cast("string"), F.lit(" (Este)")).alias("municipios")).alias("alerta_meta"), line.alias("body_paragraphs")))
     journal = F.to_json(F.struct(title.alias("title"), F.lit("The abstract.").alias("abstract"), F.lit("10.1/x").alias("doi"), F.lit("one, two,, three ").alias("keywords"), F.array(F.lit("Ann Lee Smith")).alias("authors")))

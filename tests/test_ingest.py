@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from folioforge.operators import chunking, ingest, vectors
+from folioforge.plans import table_queries
 
 
 def test_files_to_chunks(spark):
@@ -53,3 +54,10 @@ def test_quarantine(spark):
     rows = spark.createDataFrame([("ocr", ["a", "b"]), ("ocr", ["a"]), ("review", [])], "action string, reasons array<string>")
     by_action, by_reason = ingest.quarantine(rows)
     assert [tuple(r) for r in by_action.collect()] == [("ocr", 2), ("review", 1)] and by_reason.first().reason == "a"
+
+
+def test_json_holds_whole_lines(spark, tmp_path):
+    line = "word " * 80 + "end"
+    spark.createDataFrame([(2, line), (3, line)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = table_queries._json(spark, str(tmp_path)).selectExpr("to_json(v) as v").collect()
+    assert len(rows) == 2 and all(line in r.v for r in rows)
