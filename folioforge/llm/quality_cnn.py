@@ -129,7 +129,7 @@ class Network:
 
 def fit(docs: DataFrame, labels: DataFrame, common: int = COMMON, rare: int = RARE) -> Network:
     """A network of the labelled rows outside the held-out fold. About so many documents of either label, chosen by hash, give
-    PIECES pieces each, spread over the text; nothing else reaches the driver. Rows without text or label are left out. With one
+    PIECES pieces each, spread over the text; nothing else reaches the driver. Scores are for the mix of labels of all labelled rows, not of the sample. Rows without text or label are left out. With one
     label only nothing is learned, and every text scores 0.5."""
     own = labels.select(F.col("doc_id").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     own = own.where(F.coalesce(crc_mod("doc_id", 4) != HELD_OUT, F.lit(False)) & F.col("quality").isin(0, 1)).withColumn("h", F.xxhash64(F.lit("sample"), "doc_id"))
@@ -137,7 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, common: int = COMMON, rare: int = RA
     if len(sizes) < 2:
         return Network()
     most = max(sizes, key=lambda k: (sizes[k], k))
-    share = F.create_map(*(F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, (common if k == most else rare) / n))))
+    rates = {k: min(1.0, (common if k == most else rare) / n) for k, n in sizes.items()}
+    share = F.create_map(*(F.lit(v) for k, rate in rates.items() for v in (k, rate)))
     own = own.where(F.pmod("h", F.lit(1 << 24)) < share[F.col("quality")] * (1 << 24))
     data, long = F.col("text").cast("binary"), CHUNK + WIDTH - STRIDE
     room = F.greatest(F.lit(0), F.octet_length("text") - long)
@@ -146,7 +147,9 @@ def fit(docs: DataFrame, labels: DataFrame, common: int = COMMON, rare: int = RA
     found = sorted((r["h"], r["quality"], [bytes(p) for p in r["pieces"]]) for r in texts.toLocalIterator())
     if len({r[1] for r in found}) < 2:
         return Network()
-    return Network().fit([r[2] for r in found], np.array([r[1] for r in found], np.float64))
+    network = Network().fit([r[2] for r in found], np.array([r[1] for r in found], np.float64))
+    network.mix[2] -= np.log(rates[1] / rates[0])  # the sample's mix of labels back to that of all
+    return network
 
 
 def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -338,6 +338,14 @@ def test_audit_measures_and_adds_nothing(spark, monkeypatch):
         nn_descent.graph_of(nodes, len(x))
 
 
+def test_quality_scores_follow_the_mix_of_all_labels(spark):
+    rng = random.Random(24)
+    text = " ".join(rng.choice(WORDS) for _ in range(30))  # the same for all, so that the mix is all there is to learn
+    table = spark.createDataFrame([(i, text, int(i % 6 > 0)) for i in range(720)], "doc_id long, text string, quality int")
+    part, whole = (quality_cnn.score(table.limit(1), quality_cnn.fit(table, table, common, rare)).first().score for common, rare in ((80, 80), (3000, 1200)))
+    assert abs(part - 5 / 6) < 0.08 and abs(whole - 5 / 6) < 0.03
+
+
 def plain_license(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     at = sorted((i, label) for p, label in license_join.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
