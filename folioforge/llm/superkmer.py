@@ -5,14 +5,15 @@ with the same minimiser position are one super-k-mer; equal windows have equal m
 that gram's hash. First the buckets are counted from hashes alone: a gram that is a minimiser only once in the corpus
 can't hold a repeated window. Only super-k-mers of other buckets then travel, each as one packed string, equal ones
 added up on the way. In its bucket, sorting brings equal windows together; equality is checked word by word.
-A bucket with more than HOT super-k-mers is instead cut into its windows, which are counted by 128 bits of digest
-wherever these fall, so that no bucket is gathered in one task.
+A bucket of many different super-k-mers isn't gathered: each of these is partitioned anew by the minimiser among longer grams,
+again as packed super-k-mers, so that the bucket falls apart into smaller ones, and so on. Grams as long as the window end
+this, since a bucket then holds one window.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -25,11 +26,12 @@ from pyspark.sql import functions as F
 from .common import cut, map_arrow
 
 WINDOW, GRAM = 35, 8
-#: Super-k-mers of one bucket beyond which its windows are counted one by one.
-HOT = 512
+#: Super-k-mers of one bucket, unless all are equal, beyond which it is partitioned anew; the grams by which that is done, one after another.
+HOT, LONGER = 512, (20, 30, WINDOW)
 #: Rows of whole buckets that are sorted at once.
 AT_ONCE = 20_000
 _P, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_UNP = np.uint64(pow(int(_P), -1, 1 << 64))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -37,12 +39,12 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").split()
 
 
-def super_kmers(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket (signed), first window and number of windows of each super-k-mer."""
+def super_kmers(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket (signed), first window, number of windows, and 31 bits of a hash of the words, of each super-k-mer."""
     n = len(words)
     if n < window:
         none = np.zeros(0, np.int64)
-        return none, none, none
+        return none, none, none, none
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     m = n - gram + 1
     g = h[:m].copy()
@@ -59,16 +61,24 @@ def super_kmers(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> t
         at = np.where(g[b] < g[a], b, a)
         width += step
     starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return g[at[starts]].view(np.int64), starts, np.diff(np.r_[starts, len(at)])
+    times = np.diff(np.r_[starts, len(at)])
+    power = np.full(n, _P)
+    power[0] = 1
+    sums = np.r_[np.uint64(0), np.cumsum(h * np.cumprod(power))]
+    back = np.full(n, _UNP)
+    back[0] = 1
+    said = (sums[starts + times + window - 1] - sums[starts]) * np.cumprod(back)[starts]
+    said = (said ^ (said >> np.uint64(29))) * _MIX >> np.uint64(33)
+    return g[at[starts]].view(np.int64), starts, times, said.astype(np.int64)
 
 
 def _rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """(did, th, text) to (key, did, th, start, n)."""
+    """(did, th, text) to (key, did, th, start, n, said)."""
     found = [super_kmers(words_of(x)) for x in batch.column(2).to_pylist()]
     counts = [len(x[0]) for x in found]
-    key, start, n = (np.concatenate([x[i] for x in found]) for i in range(3))
+    key, start, n, said = (np.concatenate([x[i] for x in found]) for i in range(4))
     did, th = (np.repeat(batch.column(i).to_numpy(), counts) for i in range(2))
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(did), pa.array(th), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], names=["key", "did", "th", "start", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(did), pa.array(th), *(pa.array(x.astype(np.int32)) for x in (start, n, said))], names=["key", "did", "th", "start", "n", "said"])
 
 
 def _pack(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -150,19 +160,44 @@ def _count_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield count(rest)
 
 
-def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """(key, d1, d2, times, packed) to a row (key, d1, d2, times, at, w1, w2) for each window."""
-    at, first, second, owners = [], [], [], []
-    for i, text in enumerate(batch.column(4).to_pylist()):
-        words = words_of(text)
-        for k in range(len(words) - WINDOW + 1):
-            d = hashlib.blake2b(b" ".join(words[k : k + WINDOW]), digest_size=16).digest()
-            at.append(k)
-            first.append(int.from_bytes(d[:8], "little", signed=True))
-            second.append(int.from_bytes(d[8:], "little", signed=True))
-            owners.append(i)
-    to = pa.array(owners, pa.int32())
-    return pa.RecordBatch.from_arrays([*(batch.column(i).take(to) for i in range(4)), pa.array(at, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=["key", "d1", "d2", "times", "at", "w1", "w2"])
+def _split(gram: int) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """For rows (key, d1, d2, times, packed): the super-k-mers by longer grams inside each, as (p, p1, p2, times, at, key, packed)."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, at, packed, owners = [], [], [], []
+        for i, text in enumerate(batch.column(4).to_pylist()):
+            words = words_of(text)
+            for key, s, n, _ in zip(*(x.tolist() for x in super_kmers(words, WINDOW, gram)), strict=True):
+                keys.append(key)
+                at.append(s)
+                packed.append(b" ".join(words[s : s + n + WINDOW - 1]).decode())
+                owners.append(i)
+        to = pa.array(owners, pa.int32())
+        return pa.RecordBatch.from_arrays([*(batch.column(i).take(to) for i in range(4)), pa.array(at, pa.int32()), pa.array(keys, pa.int64()), pa.array(packed, pa.string())], names=["p", "p1", "p2", "times", "at", "key", "packed"])
+
+    return run
+
+
+def _digests(df: DataFrame) -> DataFrame:
+    return df.withColumns({"d1": F.xxhash64("packed"), "d2": F.xxhash64(F.lit(7), "packed")})
+
+
+def _marks(sums: DataFrame, longer: tuple[int, ...]) -> DataFrame:
+    """(key, d1, d2, runs) of the super-k-mers with repeated windows. sums (key, d1, d2, packed, times, hot): different super-k-mers;
+    hot ones are of buckets that are partitioned anew, by the first of the longer grams."""
+    of = ["key", "d1", "d2"]
+    calm = sums.where("not hot").select(*of, "times", "packed").repartition("key").sortWithinPartitions("key")
+    marks = calm.mapInPandas(_count_buckets, "key long, d1 long, d2 long, runs array<int>")
+    if not longer:
+        return marks
+    parts = _digests(map_arrow(sums.where("hot").select(*of, "times", "packed"), _split(longer[0]), "p long, p1 long, p2 long, times long, at int, key long, packed string"))
+    inner = parts.groupBy(*of, "packed").agg(F.sum("times").alias("times"))
+    often = inner.groupBy("key").agg(F.sum("times").alias("all"), F.count("*").alias("kinds")).where("all > 1")
+    hot = F.col("kinds") > HOT if len(longer) > 1 else F.lit(False)
+    found = _marks(inner.join(often, "key").select(*of, "packed", "times", hot.alias("hot")), longer[1:])
+    moved = F.transform("runs", lambda x, i: x + F.when(i % 2 == 0, F.col("at")).otherwise(0))  # runs are (first, length) pairs
+    back = parts.select("p", "p1", "p2", "at", *of).join(found, of).groupBy("p", "p1", "p2").agg(F.flatten(F.collect_list(moved)).alias("runs"))
+    return marks.unionByName(back.select(F.col("p").alias("key"), F.col("p1").alias("d1"), F.col("p2").alias("d2"), "runs"))
 
 
 def covered(n: int, found: list[dict]) -> np.ndarray:
@@ -178,26 +213,22 @@ def covered(n: int, found: list[dict]) -> np.ndarray:
 def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, found) for each row: found lists the super-k-mers with repeated windows.
 
-    Ids are integers. Null and short texts have none. Repeated rows repeat each other's windows. Rows are told apart by id and two hashes
-    of the text, so repeated ids and null ids do no harm.
+    Ids are integers. Null and short texts have none. Repeated rows repeat each other's windows. Rows are told apart by id and a hash
+    of the text, so repeated ids and null ids do no harm; only rows alike in both meet in one task.
     """
     no_id = F.lit(-(1 << 63))
     kept = docs.select(F.coalesce(F.col(id_col).cast("long"), no_id).alias("did"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    rows = map_arrow(kept, _rows, "key long, did long, th long, start int, n int")
+    rows = map_arrow(kept, _rows, "key long, did long, th long, start int, n int, said int")
     # Kept as a table, so that the join below deals both sides itself and Spark can split a bucket that is in many rows.
-    often = cut(rows.groupBy("key").agg(F.count("*").alias("times")).where("times > 1"))
-    flagged = rows.join(often, "key").select("did", "th", F.struct("key", "start", "n", (F.col("times") > HOT).alias("hot")).alias("x"))
+    counted = rows.groupBy("key").agg(F.count("*").alias("times"), F.min("said").alias("a"), F.max("said").alias("b")).where("times > 1")
+    often = cut(counted.select("key", ((F.col("times") > HOT) & (F.col("a") != F.col("b"))).alias("hot")))
+    flagged = rows.join(often, "key").select("did", "th", F.struct("key", "start", "n", "hot").alias("x"))
     of_doc = cut(flagged.groupBy("did", "th").agg(F.collect_set("x").alias("own")))
     texts = kept.repartition("did", "th")  # dealt once: both joins reuse it
     sent = map_arrow(texts.join(of_doc, ["did", "th"]).select("did", "th", "text", "own"), _pack, "did long, th long, start int, key long, hot boolean, packed string")
-    sent = sent.withColumns({"d1": F.xxhash64("packed"), "d2": F.xxhash64(F.lit(7), "packed")})
+    sent = _digests(sent)
     sums = sent.groupBy("key", "d1", "d2", "packed").agg(F.count("*").alias("times"), F.bool_or("hot").alias("hot"))
-    calm = sums.where("not hot").select("key", "d1", "d2", "times", "packed").repartition("key").sortWithinPartitions("key")
-    marks = calm.mapInPandas(_count_buckets, "key long, d1 long, d2 long, runs array<int>")
-    windows = map_arrow(sums.where("hot").select("key", "d1", "d2", "times", "packed"), _windows, "key long, d1 long, d2 long, times long, at int, w1 long, w2 long")
-    twice = windows.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").select("w1", "w2")
-    hot_marks = windows.join(twice, ["w1", "w2"]).groupBy("key", "d1", "d2").agg(F.flatten(F.collect_list(F.array("at", F.lit(1)))).alias("runs"))
-    marks = marks.unionByName(hot_marks)
+    marks = _marks(sums, LONGER)
     places = sent.select("did", "th", "start", "key", "d1", "d2").join(marks, ["key", "d1", "d2"])
     found = places.groupBy("did", "th").agg(F.collect_set(F.struct("start", "runs")).alias("found"))
     return texts.join(found, ["did", "th"], "left").select(F.when(F.col("did") != no_id, F.col("did")).alias("doc_id"), "text", "found")
@@ -221,7 +252,8 @@ def digest_of_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_removed): the texts without the words of repeated windows, joined by one space; a text that loses none stays as it is."""
+    """(doc_id, text, n_removed): the texts without the words of repeated windows, joined by one space; a text that loses none, also an
+    empty or null one, stays as it is. Rows, ids and ties as in mark_repeats; each row is judged on the input."""
 
     def strip(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, counts = [], []

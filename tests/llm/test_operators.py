@@ -131,6 +131,22 @@ def test_windows_are_compared_word_by_word(monkeypatch):
     assert [f.tolist() for f in superkmer.repeated_windows([a, b, a[:0] + a], np.array([1, 1, 1]))] == [[True, True], [False, False], [True, True]]
 
 
+def test_large_buckets_of_windows(spark):
+    """One bucket of over 5,000 different super-k-mers and one of 100,000 copies, against a count of all windows."""
+    rng = random.Random(31)
+    common = [rng.choice(WORDS) + str(i) for i in range(34)]
+    borders = [(f"u{rng.randrange(5300)}", f"v{rng.randrange(5300)}") for _ in range(5300)]
+    rows = [(i, " ".join([a, *common, b])) for i, (a, b) in enumerate(borders)]
+    copy = " ".join(rng.choice(WORDS) for _ in range(40))
+    table = spark.createDataFrame(rows, "doc_id long, text string").unionByName(spark.range(100_000).select((F.col("id") + 10_000).alias("doc_id"), F.lit(copy).alias("text")))
+    got = {r.doc_id: r.n_removed for r in superkmer.digest_of_kept(table).where("doc_id < 10010").collect()}
+    left, right = Counter(a for a, _ in borders), Counter(b for _, b in borders)
+    assert max(left.values()) > 1
+    for i, (a, b) in enumerate(borders):
+        assert got[i] == (36 if left[a] > 1 and right[b] > 1 else 35 if left[a] > 1 or right[b] > 1 else 0), i
+    assert all(got[i] == 40 for i in range(10_000, 10_010))
+
+
 def test_packing(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
