@@ -1,12 +1,13 @@
 """Near-duplicate vectors through a neighbour graph refined by NN-descent.
 
-Trees of random hyperplanes give each vector its first neighbours. Rounds then join the neighbours of each vector with one another and
-keep the nearest. Only neighbours that can stand between two linked vectors are kept: by the triangle inequality two
-vectors that link with a third are at most twice the threshold's angle apart. Pairs at or above the threshold are links.
-Lists are bounded, links aren't: wherever vectors meet, all their links join them to linked sets, kept apart from the lists. The sets
-make components, in which every direct link is counted in blocks.
-A bounded sample of vectors is compared with all others; if too few of its links were found, more trees are grown, and the query fails
-if that doesn't help. The audit only measures: its links are no part of the result.
+A few trees of random hyperplanes give each vector its first neighbours; by themselves they let about half of all linked pairs meet.
+Rounds then bring neighbours of neighbours together: centres that lie near each other form a group, and all that stand in their lists, in
+either direction, are compared with one another. A vector's list holds its nearest, near or far, so that the next round finds nearer ones.
+A list that is full of links is saturated; it is enlarged, twofold each round. Lists stay bounded all the same, links don't: wherever
+vectors meet, all their links join them to linked sets, kept apart from the lists. The sets make components, in which every
+direct link is counted.
+A bounded sample of vectors is compared with all others. If too few of its links were found, more trees and rounds follow, and the query
+fails if that doesn't help. The audit only measures: its links are no part of the result.
 """
 
 from __future__ import annotations
@@ -24,13 +25,16 @@ from .common import cut
 from .components import connected_components
 
 THRESHOLD = 0.95
-#: Length of a neighbour list, vectors of a leaf, of a block, rounds at most, share of new entries that ends the rounds.
-NEIGHBOURS, LEAF, BLOCK, ROUNDS, SETTLED = 16, 128, 512, 6, 0.01
-#: Vectors of a block of a large leaf.
-LEAF_BLOCK = 2048
-#: Recall that the trees are grown for, that the audit asks for, vectors in the audit's sample, times that more trees are grown.
-TREES_FOR, RECALL, AUDITED, AGAIN = 0.999, 0.98, 512, 3
-
+#: Length of a neighbour list, of an enlarged one; vectors of a leaf, and of centres in a group; of a block when links are counted.
+NEIGHBOURS, ENLARGED, LEAF, BLOCK = 8, 16, 128, 512
+#: Vectors of a large leaf that are compared at once: it is cut by chance.
+LEAF_BLOCK = 1024
+#: Rounds of a try at least and at most; share of new links in lists that ends them.
+LEAST_ROUNDS, ROUNDS, SETTLED = 3, 8, 0.001
+#: Recall that the trees are grown for, that the audit asks for, vectors in the audit's sample, tries.
+TREES_FOR, RECALL, AUDITED, AGAIN = 0.5, 0.98, 512, 4
+#: Rows of a product of vectors that is held at once.
+AT_ONCE = 1024
 
 #: Rows that meetings give: neighbours with their cosine, or (link) two rows of one linked set.
 MET = "a long, b long, c double, link boolean"
@@ -78,42 +82,41 @@ def _roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         root = least
 
 
-def _nearest(ids: np.ndarray, unit: np.ndarray, guide: float, threshold: float, keep: int, right: np.ndarray | None = None) -> pd.DataFrame:
-    """Up to keep neighbours of each row at guide or nearer, and (link) the first row of each row's linked set, from all links.
-    With right, only rows of which one is right and one isn't are compared."""
+def _nearest(ids: np.ndarray, unit: np.ndarray, bound: np.ndarray, threshold: float, keep: int) -> pd.DataFrame:
+    """Up to keep neighbours of each row that are nearer than its bound, and (link) the first row of each row's linked set, from all links."""
     n = len(ids)
-    sides = [(np.arange(n), np.arange(n))] if right is None else [(np.flatnonzero(~right), np.flatnonzero(right))]
-    c = unit[sides[0][0]] @ unit[sides[0][1]].T
-    if right is None:
-        np.fill_diagonal(c, -2)
-    i, j = np.nonzero(c >= threshold)
-    i, j = sides[0][0][i], sides[0][1][j]
-    root = _roots(np.r_[i, j], np.r_[j, i], n)
-    joined = np.flatnonzero(root != np.arange(n))
-    a, b, cs = [joined], [root[joined]], [np.zeros(len(joined))]
-    for own, others, m in [(*sides[0], c)] + ([] if right is None else [(*sides[0][::-1], c.T)]):
-        if keep < m.shape[1]:
-            y = np.argpartition(-m, keep, axis=1)[:, :keep].ravel()
-            x = np.repeat(np.arange(m.shape[0]), keep)
-        else:
-            x, y = np.divmod(np.arange(m.size), max(1, m.shape[1]))
-        near = m[x, y] >= guide
-        x, y = x[near], y[near]
-        a, b, cs = [*a, own[x]], [*b, others[y]], [*cs, m[x, y]]
-    a, b = np.concatenate(a), np.concatenate(b)
-    return pd.DataFrame({"a": ids[a], "b": ids[b], "c": np.concatenate(cs), "link": np.arange(len(a)) < len(joined)})
+    keep, root, every = min(keep, n - 1), np.arange(n), np.arange(n)
+    a, b, cs = [], [], []
+    for at in range(0, n, AT_ONCE):
+        c = unit[at : at + AT_ONCE] @ unit.T
+        own = np.arange(len(c))
+        c[own, at + own] = -2
+        i, j = np.nonzero(c >= threshold)
+        if len(i):
+            root = _roots(np.r_[i + at, j, every, root], np.r_[j, i + at, root, every], n)
+        y = np.argpartition(-c, keep - 1, axis=1)[:, :keep].ravel()
+        x = np.repeat(own, keep)
+        near = c[x, y] > bound[at + x]
+        a, b, cs = [*a, at + x[near]], [*b, y[near]], [*cs, c[x[near], y[near]]]
+    joined = np.flatnonzero(root != every)
+    a, b, cs = (np.concatenate(x) for x in ([joined, *a], [root[joined], *b], [np.zeros(len(joined)), *cs]))
+    return pd.DataFrame({"a": ids[a], "b": ids[b], "c": cs, "link": np.arange(len(a)) < len(joined)})
 
 
 def trees_needed(bits: int, threshold: float, recall: float) -> int:
-    """Trees after which a pair just at the threshold has met in a leaf with that probability: all vectors of a leaf meet."""
+    """Trees after which a pair just at the threshold has been in one leaf with that probability."""
     met = (1 - acos(threshold) / pi) ** bits
     return 1 if met >= recall else ceil(log(1 - recall) / log(1 - met))
 
 
-def _leaves(nodes: DataFrame, n: int, first: int, trees: int, guide: float, threshold: float) -> DataFrame:
-    """Neighbours and links (a, b, c, link) met in the leaves of some trees. All vectors of a leaf meet, block against block in a
-    large one."""
-    bits = max(0, ceil(log2(max(1, n / LEAF))))
+def _bits(n: int) -> int:
+    """Hyperplanes of a tree over n vectors."""
+    return max(0, ceil(log2(max(1, n / LEAF))))
+
+
+def _placed(nodes: DataFrame, n: int, first: int, trees: int, of: str, block: int) -> DataFrame:
+    """(tree, dim, leaf, part, node): the leaf of each node in some trees; leaves of many nodes are cut into parts of about `block` by hash."""
+    bits = _bits(n)
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
@@ -121,45 +124,50 @@ def _leaves(nodes: DataFrame, n: int, first: int, trees: int, guide: float, thre
                 unit = _unit(own["v"])
                 for t in range(first, first + trees):
                     planes = np.random.default_rng([t, dim]).normal(size=(dim, bits))
-                    yield pd.DataFrame({"tree": t, "dim": dim, "leaf": ((unit @ planes > 0) @ (1 << np.arange(bits))).astype(np.int64), "node": own["node"].to_numpy(), "v": own["v"].to_numpy()})
+                    yield pd.DataFrame({"tree": t, "dim": dim, "leaf": ((unit @ planes > 0) @ (1 << np.arange(bits))).astype(np.int64), "node": own["node"].to_numpy()})
+
+    keys = ["tree", "dim", "leaf"]
+    coded = cut(nodes.select("node", "v").mapInPandas(code, "tree int, dim int, leaf long, node long"))
+    sizes = coded.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64(F.lit(of), "tree", "node"), F.col("parts")).cast("int")
+    return coded.join(sizes, keys).select(*keys, part.alias("part"), "node")
+
 
-    def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in code(batches):
-            yield x.groupby(keys).size().reset_index(name="n")
+def _leaves(nodes: DataFrame, n: int, first: int, trees: int, threshold: float) -> DataFrame:
+    """Neighbours and links (a, b, c, link) met in the leaves of some trees."""
+    keys = ["tree", "dim", "leaf", "part"]
 
     def meet(x: pd.DataFrame) -> pd.DataFrame:
-        right = None if x["i"].iloc[0] == x["j"].iloc[0] else x["right"].to_numpy()
-        return _nearest(x["node"].to_numpy(), _unit(x["v"]), guide, threshold, NEIGHBOURS, right)
+        return _nearest(x["node"].to_numpy(), _unit(x["v"]), np.full(len(x), -2.0), threshold, NEIGHBOURS)
 
-    keys = ["tree", "dim", "leaf"]
-    kind = nodes.schema["v"].dataType.simpleString()
-    coded = nodes.select("node", "v").mapInPandas(code, f"tree int, dim int, leaf long, node long, v {kind}")
-    counted = nodes.select("node", "v").mapInPandas(sizes, "tree int, dim int, leaf long, n long").groupBy(*keys).agg(F.ceil(F.sum("n") / LEAF_BLOCK).cast("int").alias("blocks"))
-    # There are at most n * trees / LEAF_BLOCK leaves of more than one block.
-    placed = coded.join(F.broadcast(counted.where("blocks > 1")), keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = placed.select(*keys, "node", "v", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-    rows = rows.select(*keys, F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).alias("right"), "node", "v")
-    return rows.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j").mapInPandas(by_group([*keys, "i", "j"], meet, 2), MET)
-
-
-def _best(edges: DataFrame) -> DataFrame:
-    """The nearest NEIGHBOURS of each a."""
-    one = edges.groupBy("a", "b").agg(F.max("c").alias("c"))
-    return one.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("c"), "b"))).where(F.col("r") <= NEIGHBOURS).drop("r")
+    rows = _placed(nodes, n, first, trees, "leaf", LEAF_BLOCK).join(nodes.select("node", "v"), "node").select(*keys, "node", "v")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(by_group(keys, meet, 2), MET)
 
 
-def _descend(graph: DataFrame, nodes: DataFrame, guide: float, threshold: float) -> DataFrame:
-    """One round: the neighbours of each node, in either direction, are joined with one another: what (a, b, c, link) they meet."""
-    back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "c")
-    back = back.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("b")))).where(F.col("r") <= NEIGHBOURS).drop("r")
-    members = graph.unionByName(back).select("a", "b").distinct().unionByName(graph.select("a", F.col("a").alias("b")).distinct())
-    rows = members.join(nodes.select(F.col("node").alias("b"), "v"), "b").select(F.col("a").alias("center"), F.col("b").alias("node"), "v")
+def _best(edges: DataFrame, threshold: float, most: int) -> DataFrame:
+    """The nearest NEIGHBOURS of each a, and further links up to `most` where these are links all."""
+    one = edges.groupBy("a", "b").agg(F.max("c").alias("c"))
+    ranked = one.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("c"), "b")))
+    return ranked.where((F.col("r") <= NEIGHBOURS) | (F.col("c") >= threshold) & (F.col("r") <= most)).drop("r")
+
+
+def _descend(graph: DataFrame, nodes: DataFrame, n: int, turn: int, threshold: float, most: int) -> DataFrame:
+    """One round: what (a, b, c, link) the lists' members of centres that lie near each other meet. Centres are grouped by a tree of the round's own."""
+    back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    back = back.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64(F.lit(turn), "b")))).where(F.col("r") <= NEIGHBOURS).drop("r")
+    keys = ["dim", "leaf", "part"]
+    near = cut(_placed(nodes, n, 1 << 20 | turn, 1, "round", LEAF)).select(F.col("node").alias("a"), *keys)
+    members = near.join(graph.select("a", "b").unionByName(back), "a").select(*keys, "b").unionByName(near.select(*keys, F.col("a").alias("b"))).distinct()
+    # Nearer than this a list takes: a saturated one that isn't at its longest takes every link.
+    held = graph.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n"), F.min("c").alias("least"))
+    bound = F.when(F.coalesce("n", F.lit(0)) < NEIGHBOURS, -2.0).when((F.col("least") >= threshold) & (F.col("n") < most), threshold - 1e-12).otherwise(F.col("least"))
+    known = nodes.select("node", "v").join(held, "node", "left").select(F.col("node").alias("b"), "v", bound.alias("bound"))
+    rows = members.join(known, "b").select(*keys, F.col("b").alias("node"), "v", "bound")
 
     def join(x: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(x["node"].to_numpy(), _unit(x["v"]), guide, threshold, NEIGHBOURS)
+        return _nearest(x["node"].to_numpy(), _unit(x["v"]), x["bound"].to_numpy(), threshold, most)
 
-    return rows.repartition("center").sortWithinPartitions("center").mapInPandas(by_group(["center"], join, 3), MET)
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(by_group(keys, join, 2), MET)
 
 
 def _audit(nodes: DataFrame, n: int, threshold: float) -> DataFrame:
@@ -180,12 +188,48 @@ def _audit(nodes: DataFrame, n: int, threshold: float) -> DataFrame:
     return nodes.select("node", "v").mapInPandas(run, "a long, b long, c double")
 
 
+def _cores(large: DataFrame, threshold: float) -> DataFrame:
+    """large(component, node, v, weight) with `core`: whether a node lies so near its component's mean direction that all core nodes of it link."""
+    half = cos(acos(threshold) / 2 - 1e-7)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            for component, own in x.groupby("component"):
+                total = _unit(own["v"]).sum(axis=0)
+                yield pd.DataFrame({"component": component, "pos": np.arange(len(total)), "x": total})
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            for _, own in x.groupby("component"):
+                middle = _unit(own["middle"].iloc[:1])[0]
+                yield own.drop(columns="middle").assign(core=_unit(own["v"]) @ middle >= half)
+
+    kind = large.schema["v"].dataType.simpleString()
+    parts = large.select("component", "v").mapInPandas(sums, "component long, pos int, x double").groupBy("component", "pos").agg(F.sum("x").alias("x"))
+    middles = parts.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda p: p["x"]).alias("middle"))
+    return large.join(middles, "component").select("component", "node", "v", "weight", "middle").mapInPandas(mark, f"component long, node long, v {kind}, weight long, core boolean")
+
+
 def _count_links(members: DataFrame, threshold: float) -> DataFrame:
-    """(node, n): the weight of the nodes that each node links with, inside components (component, node, v, weight), block against block."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
-    rows = placed.select("component", "node", "v", "weight", "own", other).select("component", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).alias("right"), "node", "v", "weight")
+    """(node, n): the weight of the nodes that each node links with, inside components (component, node, v, weight).
+
+    Nodes within half the threshold's angle of their component's mean direction are its core: by the triangle inequality all of them link, which
+    takes no comparing. The others are compared with all, block against block.
+    """
+    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
+    sized = members.join(sizes, "component")
+    small = sized.where(F.col("size") <= BLOCK).select("component", "node", "v", "weight", F.lit(False).alias("core"))
+    marked = small.unionByName(cut(_cores(sized.where(F.col("size") > BLOCK).drop("size"), threshold)))
+    blocks = lambda x: F.ceil(F.sum(x.cast("int")) / BLOCK).cast("int")
+    kinds = marked.groupBy("component").agg(blocks(~F.col("core")).alias("rest"), blocks(F.col("core")).alias("cores"), F.sum(F.when(F.col("core"), F.col("weight")).otherwise(0)).alias("held"))
+    placed = marked.join(kinds, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("core"), F.col("cores")).otherwise(F.col("rest"))).cast("int"))
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    # A pair of blocks is (i, j) of the rest, or (i, -1 - j) of the rest and the core.
+    with_rest = F.transform(upto(F.col("rest")), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j"), (F.col("own") > o).alias("right")))
+    with_core = F.transform(upto(F.col("cores")), lambda o: F.struct(F.col("own").alias("i"), (-1 - o).alias("j"), F.lit(False).alias("right")))
+    of_core = F.transform(upto(F.col("rest")), lambda o: F.struct(o.alias("i"), (-1 - F.col("own")).alias("j"), F.lit(True).alias("right")))
+    rows = placed.select("component", "node", "v", "weight", F.explode(F.when(F.col("core"), of_core).otherwise(F.concat(with_rest, with_core))).alias("x"))
+    rows = rows.select("component", "x.i", "x.j", "x.right", "node", "v", "weight")
 
     def count(x: pd.DataFrame) -> pd.DataFrame:
         right, unit, ids, weight = x["right"].to_numpy(), _unit(x["v"]), x["node"].to_numpy(), x["weight"].to_numpy()
@@ -197,42 +241,58 @@ def _count_links(members: DataFrame, threshold: float) -> DataFrame:
         return pd.DataFrame({"node": np.r_[ids[~right], ids[right]], "n": np.r_[near @ weight[right], near.T @ weight[~right]]})
 
     keys = ["component", "i", "j"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(by_group(keys, count, 2), "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    compared = rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(by_group(keys, count, 2), "node long, n long")
+    inside = placed.where("core").select("node", (F.col("held") - F.col("weight")).alias("n"))
+    return compared.unionByName(inside).groupBy("node").agg(F.sum("n").alias("n"))
 
 
 def graph_of(nodes: DataFrame, n: int, threshold: float = THRESHOLD) -> tuple[DataFrame, float]:
     """Rows (a, b) that make the linked components of nodes(node, v), and the recall that the audit measured: of each sampled vector the share of its links
     found, as the mean of vectors with about as many links (by powers of two), the least of these means. Below RECALL it raises."""
-    guide = cos(min(pi, 2 * acos(threshold))) - 1e-9
-    bits = max(0, ceil(log2(max(1, n / LEAF))))
-    trees = trees_needed(bits, threshold, TREES_FOR)
+    trees = trees_needed(_bits(n), threshold, TREES_FOR)
     truth = cut(_audit(nodes, n, threshold))
     links = truth.count()
-    graph, links_met, first, recall = None, None, 0, 1.0
-    lists, ends_of = (lambda met: met.where(~F.col("link")).drop("link")), (lambda met: met.where("link").select("a", "b").distinct())
-    for _ in range(AGAIN):
-        met = cut(_leaves(nodes, n, first, trees, guide, threshold))
-        graph = cut(_best(lists(met) if graph is None else graph.unionByName(lists(met))))
-        links_met = ends_of(met) if links_met is None else links_met.unionByName(ends_of(met))
-        first += trees
-        seen = graph.agg(F.count("*"), F.sum("c")).first()
-        for _ in range(ROUNDS):
-            met = cut(_descend(graph, nodes, guide, threshold))
-            graph, links_met = cut(_best(graph.unionByName(lists(met)))), links_met.unionByName(ends_of(met))
-            now = graph.agg(F.count("*"), F.sum("c")).first()
-            if not now[0] or now[0] - (seen[0] or 0) + (now[1] - (seen[1] or 0)) <= SETTLED * now[0]:
+    graph = nodes.sparkSession.createDataFrame([], "a long, b long, c double")
+    met_links, recall, turn = None, 1.0, 0
+    for again in range(AGAIN):
+        met = cut(_leaves(nodes, n, again * trees, trees, threshold))
+        graph = cut(_best(graph.unionByName(met.where("not link").drop("link")), threshold, NEIGHBOURS))
+        ends = met.where("link").select("a", "b").distinct()
+        met_links = cut(ends if met_links is None else met_links.unionByName(ends).distinct())
+        held = graph.where(F.col("c") >= threshold).count()
+        for k in range(ROUNDS):
+            most = min(ENLARGED, NEIGHBOURS << k + 1)
+            met = cut(_descend(graph, nodes, n, turn, threshold, most))
+            graph = cut(_best(graph.unionByName(met.where("not link").drop("link")), threshold, most))
+            met_links = cut(met_links.unionByName(met.where("link").select("a", "b")).distinct())
+            before, held, turn = held, graph.where(F.col("c") >= threshold).count(), turn + 1
+            if k + 1 >= LEAST_ROUNDS and held - before <= SETTLED * held:
                 break
-            seen = now
-        # A link is found if both ends are in one linked component: linked sets don't hold every link.
-        links_met = cut(links_met.distinct())
-        found = connected_components(links_met)
-        ends = truth.join(found.select(F.col("node").alias("a"), F.col("component").alias("x")), "a").join(found.select(F.col("node").alias("b"), F.col("component").alias("y")), "b")
-        of_vector = truth.groupBy("a").agg(F.count("*").alias("all")).join(ends.where("x = y").groupBy("a").agg(F.count("*").alias("n")), "a", "left")
-        of_size = of_vector.groupBy(F.floor(F.log2("all")).alias("size")).agg(F.avg(F.coalesce("n", F.lit(0)) / F.col("all")).alias("share"))
-        recall = of_size.agg(F.min("share")).first()[0] if links else 1.0
+        recall = _recall(met_links, truth) if links else 1.0
         if recall >= RECALL:
-            return links_met, recall
-    raise RuntimeError(f"{first} trees found {recall:.4f} of the audited links, fewer than {RECALL}")
+            return met_links, recall
+    raise RuntimeError(f"{AGAIN * trees} trees and {turn} rounds found {recall:.4f} of the audited links, fewer than {RECALL}")
+
+
+def _recall(met_links: DataFrame, truth: DataFrame) -> float:
+    """A link is found if both ends are in one component of the linked sets: these don't hold every link."""
+    found = connected_components(met_links)
+    ends = truth.join(found.select(F.col("node").alias("a"), F.col("component").alias("x")), "a").join(found.select(F.col("node").alias("b"), F.col("component").alias("y")), "b")
+    of_vector = truth.groupBy("a").agg(F.count("*").alias("all")).join(ends.where("x = y").groupBy("a").agg(F.count("*").alias("n")), "a", "left")
+    of_size = of_vector.groupBy(F.floor(F.log2("all")).alias("size")).agg(F.avg(F.coalesce("n", F.lit(0)) / F.col("all")).alias("share"))
+    return of_size.agg(F.min("share")).first()[0]
+
+
+def _nodes(usable: DataFrame) -> DataFrame:
+    """(v, weight, least, node) for each different vector of usable (vec_id, v). Nodes are numbered by a hash of the vector, so every run gives the same
+    numbers; should two be alike, all are hashed anew."""
+    different = usable.groupBy("v").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least"))
+    seed = 0
+    while True:
+        nodes = cut(different.withColumn("node", F.xxhash64(F.lit(seed), "v")))
+        if not nodes.groupBy("node").count().where("count > 1").head(1):
+            return nodes
+        seed += 1
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
@@ -245,8 +305,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     own = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     usable = F.coalesce(F.forall("v", finite) & F.exists("v", lambda x: x != 0), F.lit(False))
-    nodes = own.where(usable).groupBy("v").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least")).withColumn("node", F.monotonically_increasing_id())
-    nodes = cut(nodes)
+    nodes = _nodes(own.where(usable))
     n = nodes.count()
     linked, _ = graph_of(nodes, n, threshold)
     parts = connected_components(linked)

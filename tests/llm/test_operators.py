@@ -348,12 +348,44 @@ def test_audit_measures_and_adds_nothing(spark, monkeypatch):
     nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, v array<double>")
     linked, recall = nn_descent.graph_of(nodes, len(x))
     assert recall >= nn_descent.RECALL and linked.count() > 0
-    leaves = nn_descent._leaves
+    leaves, descend = nn_descent._leaves, nn_descent._descend
     monkeypatch.setattr(nn_descent, "_leaves", lambda *a: leaves(*a).limit(0))
+    monkeypatch.setattr(nn_descent, "_descend", lambda *a: descend(*a).limit(0))
     with pytest.raises(RuntimeError, match="audited links"):
         nn_descent.graph_of(nodes, len(x))
 
 
+def test_rounds_raise_the_recall(spark, monkeypatch):
+    """Isolated linked pairs among random vectors: the trees alone miss many, each round finds more of them."""
+    rng = np.random.default_rng(25)
+    n, pairs = 6000, 300
+    u = unit_rows(rng.normal(size=(pairs, 64)))
+    x = np.concatenate([u, unit_rows(u + rng.normal(scale=0.036, size=(pairs, 64))), unit_rows(rng.normal(size=(n - 2 * pairs, 64)))])
+    true = {(i, i + pairs) for i in range(pairs) if x[i] @ x[i + pairs] >= 0.95}
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, v array<double>").cache()
+    share = lambda met: len({(min(r.a, r.b), max(r.a, r.b)) for r in met.where("link").select("a", "b").distinct().collect()} & true) / len(true)
+    met = nn_descent._leaves(nodes, n, 0, 1, 0.95).cache()
+    graph, seen, recalls = nn_descent._best(met.where("not link").drop("link"), 0.95, 8).cache(), met, []
+    recalls.append(share(seen))
+    for turn in range(3):
+        met = nn_descent._descend(graph, nodes, n, turn, 0.95, 16).cache()
+        graph, seen = nn_descent._best(graph.unionByName(met.where("not link").drop("link")), 0.95, 16).cache(), seen.unionByName(met)
+        recalls.append(share(seen))
+    assert len(true) > 250 and recalls[0] < 0.8 and recalls == sorted(recalls) and recalls[1] > recalls[0] + 0.1 and recalls[-1] >= 0.98, recalls
+
+
+def test_links_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """A component beyond a block: a tight core whose links are counted without comparing, and vectors that link with a part of it."""
+    rng = np.random.default_rng(26)
+    center = unit_rows(rng.normal(size=(1, 32)))
+    tight, loose = (unit_rows(center + rng.normal(scale=s, size=(k, 32))) for s, k in ((0.012, 900), (0.045, 500)))
+    x = np.concatenate([tight, loose, unit_rows(rng.normal(size=(300, 32)))])
+    monkeypatch.setattr(nn_descent, "BLOCK", 200)
+    off, near = neighbours_off(spark, monkeypatch, x)
+    assert near[:900, :900].sum() == 900 * 899 and near[900:1400, :1400].mean() < 0.9
+    assert not off
+
+
 def test_quality_scores_follow_the_mix_of_all_labels(spark):
     rng = random.Random(24)
     text = " ".join(rng.choice(WORDS) for _ in range(30))  # the same for all, so that the mix is all there is to learn
