@@ -34,7 +34,7 @@ LEAST_ROUNDS, ROUNDS, SETTLED = 3, 8, 0.001
 #: Recall that the trees are grown for, that the audit asks for, vectors in the audit's sample, tries.
 TREES_FOR, RECALL, AUDITED, AGAIN = 0.5, 0.98, 512, 4
 #: Rows of a product of vectors that is held at once.
-AT_ONCE = 1024
+AT_ONCE = 128
 
 #: Rows that meetings give: neighbours with their cosine, or (link) two rows of one linked set.
 MET = "a long, b long, c double, link boolean"
