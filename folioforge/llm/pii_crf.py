@@ -4,7 +4,7 @@ The field learns from a small labelled table of made-up token rows and labels ea
 Viterbi in numpy batches. It adds spans of kinds and forms that the patterns don't have: secrets, keys, telephone numbers
 without a plus. Spans of the patterns always stay; added ones never overlap them.
 
-A token is plain if it has neither a digit nor one of @ = + " _. Once trained, the field is asked whether any label but
+A token is plain if it has neither a digit nor one of @ = + " _, nor names a digest. Once trained, the field is asked whether any label but
 `O` can ever pay on a line of plain tokens only; if not, which is the rule, such lines need no decoding to be known.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,17 +23,22 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 LABELS = ("O", *KINDS)
-#: Lines in a batch of Viterbi; tokens of a line decoded at once, longer lines are cut at plain tokens.
-AT_ONCE = 512
+#: Lines in a batch of Viterbi. Tokens after which a line is cut at the next plain token, and at the latest; tokens that are gathered before decoding.
+AT_ONCE, LONG_LINE, LONGEST_LINE, GATHERED = 512, 2000, 4000, 100_000
 
 _domain = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+").finditer
-_local_end = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _ip = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}").finditer
 _card = re.compile(r"[0-9](?:[\x20-]?[0-9])+").finditer
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]").finditer
 _base_sign = re.compile(r"[0-9@]").search
 _sign = re.compile(r'[0-9@=+"_]')
 _token = re.compile(r"\S+").finditer
+#: Words before a string of hexadecimal digits that say it's a digest.
+_DIGEST = {"commit", "sha", "sha1", "sha256", "md5", "revision", "rev", "checksum", "digest", "hash"}
+
+
+def _is_plain(token: str) -> bool:
+    return not _sign.search(token) and token.lower().strip(".,:;()") not in _DIGEST
 
 
 def luhn(digits: str) -> bool:
@@ -68,8 +74,10 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 def shape(token: str) -> tuple[str, ...]:
     """The features of a token: its compressed shape, and coarse marks. Plain tokens differ by their first letter's case only."""
-    if not _sign.search(token):
+    if _is_plain(token):
         return ("plain", "capital" if token[:1].isupper() else "small")
+    if token.lower().strip(".,:;()") in _DIGEST:
+        return ("digest",)
     bare = token.strip(".,;:!?\"'()[]<>|*#&%$")
     classes = re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "0", bare))
     runs = re.sub(r"(.)\1+", lambda m: m.group(1) + ("+" if len(m.group()) < 8 else "*" if len(m.group()) < 12 else "#"), classes)
@@ -103,7 +111,15 @@ def labelled_table() -> list[tuple[list[str], list[str]]]:
         lambda: (["api_key=" + pick(hexes, 24)], "secret"),
         lambda: (["token", "=", '"' + pick(hexes, 40) + '"'], "secret"),
         lambda: (["AKIA" + pick(caps, 16)], "secret"),
-        lambda: ([pick(hexes, 40)], "secret"),
+        lambda: (["secret:", pick(hexes, 32)], "secret"),
+        lambda: ([pick(digits, 3), pick(digits, 3), pick(digits, 4)], "phone"),
+        lambda: ([pick(hexes, 40)], "O"),
+        lambda: ([str(rng.choice(sorted(_DIGEST))), pick(hexes, rng.choice([7, 12, 40, 64]))], "O"),
+        lambda: ([pick(digits, rng.integers(1, 12))], "O"),
+        lambda: ([pick(digits, rng.integers(1, 3)) for _ in range(rng.integers(2, 6))], "O"),
+        lambda: ([pick(letters, rng.integers(1, 4)) + pick(digits, rng.integers(1, 3)) for _ in range(rng.integers(1, 5))], "O"),
+        lambda: ([f"{rng.integers(1, 9)},{pick(digits, 3)},{pick(digits, 3)}"], "O"),
+        lambda: ([f"{rng.integers(1990, 2030)}-{rng.integers(10, 13)}-{rng.integers(10, 29)}"], "O"),
         lambda: ([str(rng.integers(1, 99)) + "."], "O"),
         lambda: ([str(rng.integers(1900, 2030))], "O"),
         lambda: ([f"{rng.integers(1, 9)}.{rng.integers(0, 9)}."], "O"),
@@ -122,8 +138,8 @@ def labelled_table() -> list[tuple[list[str], list[str]]]:
         before, after = rng.integers(0, 6, 2)
         a, b = rng.choice(words, before).tolist(), rng.choice(words, after).tolist()
         marks = [label] * len(tokens)
-        if label == "secret" and tokens[0] == "token":
-            marks = ["O", "O", label]
+        if label == "secret" and len(tokens) > 1:
+            marks = ["O"] * (len(tokens) - 1) + [label]
         rows.append((a + tokens + b, ["O"] * before + marks + ["O"] * after))
     return rows
 
@@ -176,7 +192,7 @@ class Field:
 
     def of(self, token: str) -> np.ndarray:
         """What a token gives to its own label, to the next token's, and to the one's before it."""
-        key = ("A" if token[:1].isupper() else "a") if not _sign.search(token) else token
+        key = ("A" if token[:1].isupper() else "a") if _is_plain(token) else token
         found = self.cache.get(key)
         if found is None:
             s = shape(token)
@@ -246,38 +262,74 @@ def field() -> Field:
     return Field(labelled_table())
 
 
+def _pieces(text: str, model: Field) -> Iterator[tuple[list[int], list[str]]]:
+    """Starts and tokens of the lines to be decoded. A long line is cut after a plain token, which is known to be outside, or at LONGEST_LINE tokens."""
+    at = 0
+    while at <= len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        if end - at < 1 << 16 and model.plain_is_outside and not _sign.search(text[at:end]):
+            at = end + 1
+            continue
+        starts, tokens = [], []
+        for m in _token(text, at, end):
+            starts.append(m.start())
+            tokens.append(m.group())
+            if len(tokens) >= LONG_LINE and (_is_plain(tokens[-1]) or len(tokens) >= LONGEST_LINE):
+                yield starts, tokens
+                starts, tokens = [], []
+        if tokens:
+            yield starts, tokens
+        at = end + 1
+
+
+def _can_be(kind: str, found: str) -> bool:
+    """Card numbers have 12 to 19 digits and pass Luhn; telephone numbers have 7 to 15 digits and no letter."""
+    digits = re.sub(r"[^0-9]", "", found)
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return kind != "phone" or 7 <= len(digits) <= 15 and not any(map(str.isalpha, found))
+
+
 def added_spans(texts: list[str], base: list[list[tuple[int, str, int]]], model: Field) -> list[list[tuple[int, str, int]]]:
-    """What the field finds in each text beyond the base spans."""
-    lines, where = [], []
+    """What the field finds in each text beyond the base spans, if it can be of that kind. Memory is bounded by GATHERED tokens, whatever a line's length."""
+    out: list[list[tuple[int, str, int]]] = [[] for _ in texts]
+    taken = [[0] * (len(b) + 1) for b in base]
+    for own, b in zip(taken, base, strict=True):  # the furthest end of the first base spans, which are in the order of their starts
+        for k, (_, _, e) in enumerate(b):
+            own[k + 1] = max(own[k], e)
+
+    def decode(gathered: list[tuple[int, list[int], list[str]]]) -> None:
+        for (i, starts, tokens), labels in zip(gathered, model.decode([x[2] for x in gathered]), strict=True):
+            if not labels.any():
+                continue
+            t = 0
+            while t < len(labels):
+                u = t + 1
+                if labels[t]:
+                    while u < len(labels) and labels[u] == labels[t]:
+                        u += 1
+                    start, end, kind = starts[t], starts[u - 1] + len(tokens[u - 1]), LABELS[labels[t]]
+                    while start < end and texts[i][start] in "\"'[<":
+                        start += 1
+                    while start < end and texts[i][end - 1] in "\"'.,;:!?]>#*%&":
+                        end -= 1
+                    free = taken[i][bisect_left(base[i], (end,))] <= start
+                    if start < end and free and _can_be(kind, texts[i][start:end]):
+                        out[i].append((start, kind, end))
+                t = u
+
+    gathered, size = [], 0
     for i, text in enumerate(texts):
         if not _sign.search(text) and model.plain_is_outside:
             continue
-        at = 0
-        for line in text.split("\n"):
-            if _sign.search(line) or not model.plain_is_outside:
-                tokens = [(m.start(), m.group()) for m in _token(line)]
-                if tokens:
-                    lines.append([t for _, t in tokens])
-                    where.append((i, at, tokens))
-            at += len(line) + 1
-    out: list[list[tuple[int, str, int]]] = [[] for _ in texts]
-    for (i, at, tokens), labels in zip(where, model.decode(lines), strict=True):
-        if not labels.any():
-            continue
-        t = 0
-        while t < len(labels):
-            u = t + 1
-            if labels[t]:
-                while u < len(labels) and labels[u] == labels[t]:
-                    u += 1
-                start, end = at + tokens[t][0], at + tokens[u - 1][0] + len(tokens[u - 1][1])
-                while start < end and texts[i][start] in "\"'[<":
-                    start += 1
-                while start < end and texts[i][end - 1] in "\"'.,;:!?]>":
-                    end -= 1
-                if start < end and not any(s < end and start < e for s, _, e in base[i]):
-                    out[i].append((start, LABELS[labels[t]], end))
-            t = u
+        for starts, tokens in _pieces(text, model):
+            gathered.append((i, starts, tokens))
+            size += len(tokens)
+            if size >= GATHERED:
+                decode(gathered)
+                gathered, size = [], 0
+    decode(gathered)
     return out
 
 
