@@ -7,35 +7,40 @@ nearest codewords lose about the same is flagged as ambiguous.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, map_arrow
 
-#: Bounds of the training sample: documents for each language, pieces of each, characters of a piece. Languages that can be told apart.
-PER_LANGUAGE, PIECES, PIECE_CHARS, MOST_LANGUAGES = 300, 3, 1500, 200
+#: Bounds of the training sample: documents for each language; documents in all, beyond which each language gives fewer, though FEWEST at least.
+PER_LANGUAGE, IN_ALL, FEWEST = 300, 60_000, 20
+#: Parts into which a sampled text is cut, and the characters of a part at least; together they are the whole text.
+PIECES, PIECE_CHARS = 3, 500
 BINS_BITS = 12
 BINS = 1 << BINS_BITS
+#: Bytes whose n-grams are counted at once.
+AT_ONCE = 1 << 20
 #: Probability of the runner-up, against the winner's, from which a text counts as ambiguous.
 AMBIGUOUS = 0.5
 HELD_OUT = 1
 NO_LANGUAGE = "und"
-_letter = re.compile(r"[^\W\d_]").search
+_letter = regex.compile(r"\p{L}").search
 
 
 def counts(text: str) -> np.ndarray:
     """Hashed counts of the two- and three-byte n-grams of the lower-cased text, any length, in bounded memory."""
     data = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)
     out = np.zeros(BINS, np.int64)
-    for at in range(0, len(data), 1 << 20):
-        b = data[at : at + (1 << 20) + 2].astype(np.uint32)
-        two = (b[:-1] << 8 | b[1:]) if len(b) > 1 else b
-        for grams in (two, (two[:-1] << 8 | b[2:]) if len(b) > 2 else two[:0]):
+    for at in range(0, len(data), AT_ONCE):
+        b = data[at : at + AT_ONCE + 2].astype(np.uint32)
+        two = b[:-1] << 8 | b[1:] if len(data) > 1 else b
+        three = two[:-1] << 8 | b[2:] if len(b) > 2 else two[:0]
+        for grams in (two[:AT_ONCE], three):  # each from its own first byte, once
             out += np.bincount((grams * np.uint32(2654435761)) >> np.uint32(32 - BINS_BITS), minlength=BINS)
     return out
 
@@ -91,26 +96,33 @@ class Model:
         return best, top, p.max(axis=1, initial=0) >= AMBIGUOUS * top
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """A model of the rows outside the held-out fold. Only a bounded sample reaches the driver: about per_language documents of
-    each language, chosen by hash, and of each PIECES pieces spread over its text."""
+def parts_of(text: str) -> list[str]:
+    """The whole text in up to PIECES parts of about the same length, none shorter than PIECE_CHARS unless the text is."""
+    n = max(1, min(PIECES, len(text) // PIECE_CHARS))
+    return [text[i * len(text) // n : (i + 1) * len(text) // n] for i in range(n)]
+
+
+def _count_parts(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(lang, h, text) to (lang, h, counted): the counts of each part, as little-endian 32-bit numbers."""
+    found = [counts(p).astype("<u4").tobytes() for x in batch.column(2).to_pylist() for p in parts_of(x)]
+    to = pa.array([i for i, x in enumerate(batch.column(2).to_pylist()) for _ in parts_of(x)], pa.int32())
+    return pa.RecordBatch.from_arrays([batch.column(0).take(to), batch.column(1).take(to), pa.array(found, pa.binary())], names=["lang", "h", "counted"])
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_ALL) -> Model:
+    """A model of the rows outside the held-out fold, of every language that these hold. Whole texts of a bounded sample are counted where they are,
+    about per_language documents of each language, chosen by hash, about in_all together; only their counts reach the driver."""
     rows = docs.select(crc_mod("doc_id", 3).alias("fold"), "text", "lang", F.xxhash64(F.lit("sample"), "doc_id").alias("h"))
     rows = rows.where(F.coalesce(F.col("fold") != HELD_OUT, F.lit(False)) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
-    if not sizes:
-        return Model([], np.zeros((0, BINS), np.float32), np.zeros(0, np.int64))
-    share = F.create_map(*(F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, per_language / n))))
-    chosen = rows.where(F.pmod("h", F.lit(1 << 24)) < share[F.col("lang")] * (1 << 24))
-    room = F.greatest(F.lit(0), F.length("text") - PIECE_CHARS)
-    pieces = F.array_distinct(F.array(*(F.substring("text", (room * i / max(1, PIECES - 1)).cast("int") + 1, F.lit(PIECE_CHARS)) for i in range(PIECES))))
-    found = sorted((r["lang"], r["h"], r["pieces"]) for r in chosen.select("lang", "h", pieces.alias("pieces")).toLocalIterator())
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    per = max(FEWEST, min(per_language, in_all // max(1, sizes.count())))
+    chosen = rows.join(sizes, "lang").where(F.pmod("h", F.lit(1 << 24)) * F.col("n") < F.lit(float(per << 24)))
+    found = sorted((r["lang"], r["h"], bytes(r["counted"])) for r in map_arrow(chosen.select("lang", "h", "text"), _count_parts, "lang string, h long, counted binary").toLocalIterator())
     languages = sorted({r[0] for r in found})
-    x, y = [], []
-    for lang, _, texts in found:
-        for text in texts:
-            x.append(counts(text).astype(np.int32))
-            y.append(languages.index(lang))
-    return Model(languages, _scaled(np.array(x)), np.array(y))
+    if not languages:
+        return Model([], np.zeros((0, BINS), np.float32), np.zeros(0, np.int64))
+    place = {k: i for i, k in enumerate(languages)}
+    return Model(languages, _scaled(np.array([np.frombuffer(r[2], "<u4") for r in found])), np.array([place[r[0]] for r in found]))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
