@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where it is unset (tests on one machine) a temporary folder is set."""
+    """The folder named by spark.checkpoint.dir. Only on one machine, as in tests, a temporary folder is set where it is unset; a cluster raises."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="folioforge-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 
@@ -41,10 +43,5 @@ def map_arrow(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatc
     return df.mapInArrow(run, schema)
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """df[name] columns only: operators never look at columns that they weren't given."""
-    return df.select(name)
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

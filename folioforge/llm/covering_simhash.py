@@ -1,15 +1,18 @@
 """SimHash near-duplicates by covering locality-sensitive hashing.
 
-Each of the 64 bit positions has a non-zero vector of three bits. The table of a non-zero vector v keeps the positions
+Each of the 64 bit positions has a non-zero vector of three bits. The table of a non-zero vector v drops the positions
 whose vector is orthogonal to v; two positions always have some v orthogonal to both, so a pair that differs in two bits
 or fewer agrees on all kept bits of one of the 7 tables. The positions that a table drops are cut into three parts; a pair
 with at most two different bits agrees on one part whole. So 21 keys a fingerprint meet every pair within the radius: no
 pair is missed, whatever the data.
+
+For a wider radius r the vectors have r + 1 bits, which gives 2 ** (r + 1) - 1 tables; the dropped positions are then not cut further.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import cut, map_arrow
 from .components import connected_components
@@ -26,20 +30,23 @@ RADIUS, SEED, WORDS = 2, 42, 3
 BY_PAIRS = 2048
 
 
-def _masks() -> list[tuple[int, tuple[int, ...]]]:
-    """For each key: the mask that it keeps, and the positions still free under it."""
-    vector = [i % 7 + 1 for i in range(64)]
+@lru_cache(maxsize=8)
+def masks(radius: int, parts: int, positions: tuple[int, ...] = tuple(range(64))) -> tuple[tuple[int, tuple[int, ...]], ...]:
+    """For each key over some bit positions: the mask that it keeps of them, and the positions still free under it."""
+    vector = {p: i % ((2 << radius) - 1) + 1 for i, p in enumerate(positions)}
     out = []
-    for v in range(1, 8):
-        kept = [i for i in range(64) if not (vector[i] & v).bit_count() & 1]
-        dropped = [i for i in range(64) if i not in kept]
-        for part in range(3):
-            held = {*kept, *dropped[part::3]}
+    for v in range(1, 2 << radius):
+        kept = [i for i in positions if (vector[i] & v).bit_count() & 1]
+        dropped = [i for i in positions if i not in kept]
+        for part in range(parts):
+            held = {*kept, *(dropped[part::parts] if parts > 1 else ())}
             out.append((sum(1 << i for i in held), tuple(i for i in dropped if i not in held)))
-    return out
+    return tuple(out)
 
 
-MASKS = _masks()
+MASKS = masks(RADIUS, RADIUS + 1)
+#: Differing bits within which the pipeline's stage counts documents as near-duplicates; see keep_one.
+WIDE = 6
 
 
 def fingerprint(text: str | None) -> int:
@@ -76,7 +83,7 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", fp_col: str = "fp
     return map_arrow(docs, add, StructType([*docs.schema.fields, StructField(fp_col, LongType())]))
 
 
-def _roots(fps: np.ndarray, free: tuple[int, ...]) -> np.ndarray:
+def _roots(fps: np.ndarray, free: tuple[int, ...], radius: int = RADIUS) -> np.ndarray:
     """For each of some distinct fingerprints that differ in free positions only: one fingerprint of its linked set."""
     n = len(fps)
     parent = np.arange(n)
@@ -89,9 +96,20 @@ def _roots(fps: np.ndarray, free: tuple[int, ...]) -> np.ndarray:
 
     if n <= BY_PAIRS:
         for i in range(n - 1):
-            for j in np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= RADIUS) + i + 1:
+            for j in np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= radius) + i + 1:
                 if (a := find(i)) != (b := find(int(j))):
                     parent[max(a, b)] = min(a, b)
+    elif radius > RADIUS:  # too many flips: covering masks of the free positions cut the group again
+        for mask, still in masks(radius, 1, free):
+            held = fps & np.uint64(mask)
+            order = np.argsort(held, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, held[order][1:] != held[order][:-1]])
+            for own in np.split(order, cuts[1:]):
+                if len(own) > 1:
+                    place = {int(f): int(i) for f, i in zip(fps[own], own, strict=True)}
+                    for i, r in zip(own.tolist(), _roots(fps[own], still, radius).tolist(), strict=True):
+                        if (a := find(i)) != (b := find(place[r])):
+                            parent[max(a, b)] = min(a, b)
     else:
         order = np.argsort(fps)
         ranked = fps[order]
@@ -105,40 +123,48 @@ def _roots(fps: np.ndarray, free: tuple[int, ...]) -> np.ndarray:
     return fps[[find(i) for i in range(n)]]
 
 
-def _links_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _links_of(radius: int, keys: tuple) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """From rows (k, held, fp) in the order of (k, held): a link from each fingerprint to one of its linked set in the group."""
-    rest = None
 
     def links(x: pd.DataFrame) -> pd.DataFrame:
         k, held, fp = x["k"].to_numpy(), x["held"].to_numpy(), x["fp"].to_numpy().view(np.uint64)
         starts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (held[1:] != held[:-1])])
         sizes = np.diff(np.r_[starts, len(k)])
         two = starts[sizes == 2]
-        two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= RADIUS]
+        two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= radius]
         a, b = [fp[two]], [fp[two + 1]]
         for s, n in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
             own = fp[s : s + n]
-            root = _roots(own, MASKS[k[s]][1])
+            root = _roots(own, keys[k[s]][1], radius)
             a.append(own[root != own])
             b.append(root[root != own])
         return pd.DataFrame({"a": np.concatenate(a).view(np.int64), "b": np.concatenate(b).view(np.int64)})
 
-    for batch in batches:
-        rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        last = rest.iloc[-1]
-        ends = int(((rest["k"] != last["k"]) | (rest["held"] != last["held"])).to_numpy().nonzero()[0].max(initial=-1)) + 1
-        if ends:
-            yield links(rest.iloc[:ends])
-            rest = rest.iloc[ends:].reset_index(drop=True)
-    if rest is not None and len(rest):
-        yield links(rest)
-
-
-def fingerprint_components(fps: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest: list[pd.DataFrame] = []
+        for batch in batches:
+            last = batch.iloc[-1]
+            ends = int(((batch["k"] != last["k"]) | (batch["held"] != last["held"])).to_numpy().nonzero()[0].max(initial=-1)) + 1
+            if ends:
+                yield links(pd.concat([*rest, batch.iloc[:ends]], ignore_index=True))
+                rest = [batch.iloc[ends:]]
+            elif rest and (rest[0]["k"].iloc[0] != last["k"] or rest[0]["held"].iloc[0] != last["held"]):
+                yield links(pd.concat(rest, ignore_index=True))
+                rest = [batch]
+            else:
+                rest.append(batch)
+        if rest:
+            yield links(pd.concat(rest, ignore_index=True))
+
+    return run
+
+
+def fingerprint_components(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, root) for each distinct fp of fps(fp): root is the smallest fingerprint reached over links."""
+    own = MASKS if radius == RADIUS else masks(radius, 1)
     one = fps.select("fp").distinct()
-    keys = one.select("fp", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(m - (m >> 63 << 64))).alias("held")) for k, (m, _) in enumerate(MASKS)))).alias("x")).select("x.k", "x.held", "fp")
-    links = keys.repartition("k", "held").sortWithinPartitions("k", "held", "fp").mapInPandas(_links_of, "a long, b long")
+    keys = one.select("fp", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(m - (m >> 63 << 64))).alias("held")) for k, (m, _) in enumerate(own)))).alias("x")).select("x.k", "x.held", "fp")
+    links = keys.repartition("k", "held").sortWithinPartitions("k", "held", "fp").mapInPandas(_links_of(radius, own), "a long, b long")
     found = connected_components(links)
     return one.join(found.select(F.col("node").alias("fp"), F.col("component").alias("root")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
@@ -155,17 +181,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def component_of_fp(rows: DataFrame) -> DataFrame:
+def component_of_fp(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, root, component_id) for each distinct fp of rows (doc_id, fp)."""
     least = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    of_root = cut(fingerprint_components(least).join(least, "fp"))
+    of_root = cut(fingerprint_components(least, radius).join(least, "fp"))
     return of_root.join(of_root.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row with the smallest id of each component, with all columns of docs; one of them if it is repeated."""
-    fp, root, least = "__fp", "__root", "__least"
-    marked = with_fingerprints(docs, text_col, fp)
-    of_fp = component_of_fp(cut(with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", "fp")))
-    of_fp = of_fp.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(least))
-    return marked.join(of_fp, fp).where(F.col(id_col).eqNullSafe(F.col(least))).dropDuplicates([root]).select(*docs.columns)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = WIDE) -> DataFrame:
+    """One row of each component, with all columns of docs: that with the smallest id, null ids after all others.
+
+    Of rows with that id the one with the smallest hash of its text stays; of rows alike in id and text, the first in the order of all
+    columns that can be ordered. Null and empty texts are one component. Near-duplicates are texts whose fingerprints differ in `radius` bits or fewer.
+    Fingerprints are computed once; the text crosses the network once, to meet the decision on its row.
+    """
+    key = [F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__th")]
+    rows = cut(with_fingerprints(docs.select(*key, F.col(text_col).alias("text")), "text", "fp").groupBy("__id", "__th", "fp").agg(F.count("*").alias("times")))
+    root = component_of_fp(rows.select(F.col("__id").alias("doc_id"), "fp"), radius).select("fp", "root")
+    first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__th", "times")).alias("x")
+    stay = rows.join(root, "fp").groupBy("root").agg(first).select(F.col("x.__id").alias("__id"), F.col("x.__th").alias("__th"), F.col("x.times").alias("__n_alike"))
+    # All columns of docs travel as one struct, so that no name of theirs can clash.
+    there = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("i"), F.xxhash64(text_col).alias("t"))
+    left = there.join(stay, F.col("i").eqNullSafe(F.col("__id")) & (F.col("t") == F.col("__th")))
+    order = [F.col("row")[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    again = left.where("__n_alike > 1").withColumn("r", F.row_number().over(Window.partitionBy("i", "t").orderBy(*order))).where("r = 1")
+    return left.where("__n_alike = 1").select("row").unionByName(again.select("row")).select("row.*")
