@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import ACCENTED, PLAIN, normalize_value, strip
+from .text import ACCENTED, PLAIN, let, normalize_value, strip
 
 # Month names in three languages, and what marks an entry that isn't a person.
 MONTHS = [
@@ -61,13 +61,32 @@ def stem(name: Column | str) -> Column:
     return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
 
 
+# Words of file names that no title has.
+NAME_NOISE = (
+    "final", "compressed", "web", "web1", "web2", "web3", "web4", "layout", "draft", "copy", "rev", "rev1", "rev2", "rev3", "v1", "v2", "v3",
+    "update", "updated", "print", "digital", "hr", "lr", "full", "report1",
+)
+#: Letters in a row beyond which a word is several that were run together; letters of a real word, and real words of a title, at least.
+RUN_TOGETHER, REAL_LETTERS, REAL_WORDS = 16, 4, 3
+
+
 def title_of(name: Column | str) -> Column:
-    """A readable title from a file's name, or null where it only has codes, dates or noise: three real words are needed."""
-    bare = F.regexp_replace(stem(name), r"^[A-Z0-9]+_", "")
-    words = F.filter(F.split(F.regexp_replace(bare, "[-_ ]+", " "), " "), lambda w: w != "")
-    real = F.filter(words, lambda w: (F.length(w) >= 4) & ~w.rlike(r"^\d+$") & w.rlike(r"\p{L}"))
-    odd = bare.rlike(r"^\d{6,8}") | F.exists(words, lambda w: w.rlike(r"^\p{L}{16,}$"))
-    return F.when(~odd & (F.size(real) >= 3), F.array_join(words, " "))
+    """A readable title from a file's name without its source prefix (3 to 12 capitals or digits). Null where the name begins with a compact date of 5
+    to 8 digits, holds a word of NAME_NOISE or words run together, or has fewer than three real words."""
+    bare = F.regexp_replace(stem(name), r"^[A-Z0-9]{3,12}[-_]", "")
+    words = F.filter(F.split(bare, r"[-_\s]+"), lambda w: w != "")
+
+    def of(ws: Column) -> Column:
+        real = F.filter(ws, lambda w: (F.length(w) >= REAL_LETTERS) & w.rlike(r"\p{L}"))
+        odd = F.exists(ws, lambda w: F.lower(w).isin(*NAME_NOISE) | w.rlike(rf"^\p{{L}}{{{RUN_TOGETHER},}}$"))
+        return F.when((F.size(real) >= REAL_WORDS) & ~odd & ~F.element_at(ws, 1).rlike(r"^\d{5,8}$"), F.array_join(ws, " "))
+
+    return let(words, of)
+
+
+def bare_title(title: Column | str) -> Column:
+    """A title without the number that tells files of one title apart."""
+    return F.regexp_replace(title, r"\s+\d+$", "")
 
 
 def pad_code(code: Column | str) -> Column:

@@ -130,47 +130,65 @@ class Draft:
         }
 
 
-def chunk_blocks(doc_id: str, blocks: list[dict], most: int = MAX_TOKENS) -> list[dict]:
-    """The chunks of a document's blocks, in order.
+def sections(blocks: list[dict]) -> Iterator[tuple[dict | None, list[dict]]]:
+    """A heading, or none for what stands before the first, with the blocks up to the next heading. Blank blocks are left out."""
+    heading, body = None, []
+    for block in blocks:
+        if not block["text"].strip():
+            continue
+        if block["type"] == "heading":
+            if heading or body:
+                yield heading, body
+            heading, body = block, []
+        else:
+            body.append(block)
+    if heading or body:
+        yield heading, body
+
 
-    A heading ends the chunk before it and opens the next, within its budget; a heading too long for one is cut up and comes
-    alone; the last of two headings in a row counts; a heading at the very end is a chunk.
+def section_items(heading: dict | None, body: list[dict], most: int) -> list[list[tuple[str, dict, int, str]]]:
+    """What a section's chunks are filled with: runs of (text, block, tokens, how it was cut), of which each begins a new chunk.
+
+    A heading leads the section's first chunk, whose first piece is cut to what the heading leaves free. A heading that leaves nothing, or has
+    nothing below it, comes by itself, cut up where it's too long.
     """
-    out: list[dict] = []
-    draft, section = Draft(), None
-    heading: tuple[dict, str, int] | None = None
+    items = []
+    for block in body:
+        pieces, _, way = units(block["text"], most)
+        items += [(p, block, count_tokens(p), way) for p in pieces]
+    if not heading:
+        return [items]
+    title = heading["text"].strip()
+    n = count_tokens(title)
+    if n >= most or not items:
+        alone = [(p, heading, count_tokens(p), "hard_token_split" if n > most else "sentence") for p in cut_hard(title, most)]
+        return [*([x] for x in alone), items]
+    first, block, size, _ = items[0]
+    if size > most - n:
+        same = [i for i, x in enumerate(items) if x[1] is block]
+        rest = [(*x[:3], "hard_token_split") for x in items[1 : len(same)]]
+        items = [*((p, block, count_tokens(p), "hard_token_split") for p in cut_hard(first, most - n)), *rest, *items[len(same) :]]
+    return [[(title, heading, n, "sentence"), *items]]
 
-    def emit(d: Draft) -> Draft:
-        if d.parts and (row := d.row(doc_id, len(out), section)):
-            out.append(row)
-        return Draft()
 
-    for block in blocks:
-        text = block["text"].strip()
-        if block["type"] == "heading":
-            draft = emit(draft)
-            heading, section = (block, text, count_tokens(text)), text
-            continue
-        pieces, _, way = units(text, most)
-        if heading and heading[2] < most and pieces and count_tokens(pieces[0]) > most - heading[2]:
-            pieces, way = cut_hard(pieces[0], most - heading[2]) + pieces[1:], "hard_token_split"
-        for piece in pieces:
-            n = count_tokens(piece)
-            if draft.parts and draft.tokens + (heading[2] if heading else 0) + n > most:
-                draft = emit(draft)
-            if heading and not draft.parts and heading[2] >= most:
-                for part in cut_hard(heading[1], most):
-                    emit(Draft([(part, heading[0])], count_tokens(part), "hard_token_split"))
-                heading = None
-            if way == "hard_token_split" or (way == "paragraph" and draft.strategy == "sentence"):
-                draft.strategy = way
-            if heading and not draft.parts:
-                draft.add(heading[1], heading[0], heading[2])
-                heading = None
-            draft.add(piece, block, n)
-    if heading and not draft.parts:
-        draft.add(heading[1], heading[0], heading[2])
-    emit(draft)
+def chunk_blocks(doc_id: str, blocks: list[dict], most: int = MAX_TOKENS) -> list[dict]:
+    """The chunks of a document's blocks, in order: no word is lost, headings included, and none has more than `most` tokens.
+
+    A chunk never reaches over a heading. Headings in a row and one at the very end are chunks of their own.
+    """
+    out: list[dict] = []
+    for heading, body in sections(blocks):
+        section = heading["text"].strip() if heading else None
+        for run in section_items(heading, body, most):
+            draft = Draft()
+            for text, block, n, way in run:
+                if draft.parts and draft.tokens + n > most:
+                    out += filter(None, [draft.row(doc_id, len(out), section)])
+                    draft = Draft()
+                if way == "hard_token_split" or (way == "paragraph" and draft.strategy == "sentence"):
+                    draft.strategy = way
+                draft.add(text, block, n)
+            out += filter(None, [draft.row(doc_id, len(out), section)])
     return out
 
 

@@ -160,20 +160,30 @@ def catalog_records(files: DataFrame) -> DataFrame:
     return files.select("catalog", F.posexplode(items).alias("ord", "v")).where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")))
 
 
+# What announces an alert's code, how far before it, what may stand before one that nothing announces, and the dashes of a code.
+ANNOUNCED, WITHIN, NUMBERED, DASHES = r"(?:alerta[s]?\s+temprana[s]?|\bA\.?\s?T\.?\b)", 60, r"N[o°ºr.]{0,3}\s?", "-–—"
+
+
+def alert_codes(head: Column) -> Column:
+    """The codes nnn-yy that a text names, in order, numbers padded to three digits. Those announced as early alerts, dashes in blanks allowed; if there are
+    none, those after a number sign, the dash being tight. No digit or dash may touch a code, else parts of addresses and ranges would count."""
+    free = r"(?<![\d-])(\d{1,3})"
+    announced = rf"(?iu){ANNOUNCED}[^\n]{{0,{WITHIN}}}?{free}\s?[{DASHES}]\s?(\d{{2}})(?![\d-])"
+    numbered = rf"(?iu){NUMBERED}{free}[{DASHES}](\d{{2}})(?![\d-])"
+    both = lambda p: F.zip_with(F.regexp_extract_all(head, F.lit(p), F.lit(1)), F.regexp_extract_all(head, F.lit(p), F.lit(2)), lambda n, y: F.concat(F.lpad(n, 3, "0"), F.lit("-"), y))
+    return F.when(head.rlike(announced), both(announced)).otherwise(both(numbered))
+
+
 def match_alerts(pdfs: DataFrame, alerts: DataFrame, limit: int = 20_000) -> DataFrame:
-    """pdfs(doc_id, text) to alerts(code, municipalities array<string>) by the codes in the first characters.
+    """pdfs(doc_id, text) to alerts(code, municipalities array<string>) by the codes in the first characters; see alert_codes.
 
-    Codes after a word that announces them are asked first, others next. The first whose alert has a place that the text names wins, else the first known
-    one. An equi-join on the code; texts are normalised once.
+    The first whose alert has a place that the text names wins, else the first known one. An equi-join on the code; texts are normalised once.
     """
     from ..functions.metadata import pad_code
     from ..functions.text import comparison_form
 
-    code = r"(\d{1,3}-\d{2})(?!\d)"
     head = F.substring("text", 1, limit)
-    near = F.regexp_extract_all(head, F.lit(r"(?i)(?:alerta|ae|at|n[º°o.]*)[^\d\n]{0,40}" + code), F.lit(1))
-    tight = F.regexp_extract_all(head, F.lit(r"(?<!\d)" + code), F.lit(1))
-    asked = pdfs.select("doc_id", comparison_form(head).alias("norm"), F.posexplode(F.array_distinct(F.transform(F.when(F.size(near) > 0, near).otherwise(tight), pad_code))).alias("n", "code"))
+    asked = pdfs.select("doc_id", comparison_form(head).alias("norm"), F.posexplode(F.array_distinct(alert_codes(head))).alias("n", "code"))
     met = asked.join(alerts.select(pad_code(F.col("code")).alias("code"), "municipalities"), "code")
     named = F.exists("municipalities", lambda m: F.contains(F.col("norm"), comparison_form(m)))
     return met.groupBy("doc_id").agg(F.min_by(F.struct("code", named.alias("confirmed")), F.struct((~named).alias("unnamed"), F.col("n"))).alias("m")).select("doc_id", "m.code", "m.confirmed")

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.metadata import bare_title, extension, title_of
 from ..functions.text import SIGNALS, comparison_form, token_overlap
+from ..sources.shared import kept
 
 # Fixed values.
 BASIS_ORDER = ["entity_crosscheck", "gold_fragment", "ocr_agreement", "mirror_match", "title_match"]
@@ -25,13 +27,21 @@ def signals_long(df: DataFrame, keys: list[str]) -> DataFrame:
 def calibrate(signals: DataFrame, group: list[str]) -> DataFrame:
     """signals(group..., name, value) with pctile, the share of smaller values of the group (null in groups under eight), and flag.
 
-    A script that is null counts as `unknown`. One shuffle serves all signals.
+    A group value that is null counts as `unknown`. Values are rounded, so a group has few different ones whatever its size: these are counted, the
+    counts added up in order, and the shares joined back. No group of documents is sorted.
     """
-    parts = [F.coalesce(F.col(g).cast("string"), F.lit("unknown")) for g in group]
-    w = Window.partitionBy(*parts, "name")
-    n = F.count("*").over(w)
-    share = F.round((F.rank().over(w.orderBy("value")) - 1) / n, 4)
-    out = signals.withColumn("pctile", F.when(n >= LEAST_GROUP, share))
+    parts = {f"__{g}": F.coalesce(F.col(g).cast("string"), F.lit("unknown")) for g in group}
+    keys = [*parts, "name"]
+    marked = kept(signals.withColumns(parts))  # signals are dear, and used twice
+    counts = marked.groupBy(*keys, "value").agg(F.count("*").alias("c"))
+    w = Window.partitionBy(*keys)
+    less = F.coalesce(F.sum("c").over(w.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    n = F.sum("c").over(w)
+    shares = counts.select(*(F.col(k).alias(f"{k}_") for k in keys), F.col("value").alias("value_"), F.when(n >= LEAST_GROUP, F.round(less / n, 4)).alias("pctile"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"{k}_"))
+    out = marked.join(shares, same & F.col("value").eqNullSafe(F.col("value_"))).drop(*parts, *(f"{k}_" for k in keys), "value_")
     return out.withColumn("flag", F.when((F.col("pctile") <= OUTLIER_SHARE) & F.col("name").isin(*OUTLIERS), "outlier_low_in_source"))
 
 
@@ -133,6 +143,21 @@ def title_match(title: Column, text: Column, head: int = 6000) -> Column:
     return F.when((F.length(F.trim(title)) >= 8) & (F.trim(part) != ""), _check("title_match", overlap, overlap >= 0.5))
 
 
+def generic_titles(names: DataFrame, name: str = "name", least: int = 3) -> DataFrame:
+    """(title, n): titles that so many files share, but for a number at the end: they name none of them."""
+    return names.select(bare_title(title_of(name)).alias("title")).where("title is not null").groupBy("title").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+
+
+def expected_titles(documents: DataFrame, least: int = 3) -> DataFrame:
+    """documents(name, reference_title, ...) with `expected`: the title that its text should hold. A catalog's title goes before the name's; tables have none,
+    since a dataset doesn't name itself, and a generic title is none."""
+    generic = generic_titles(documents, least=least).select(F.col("title").alias("__title"), F.lit(True).alias("__generic"))
+    wanted = F.coalesce("reference_title", title_of("name"))
+    marked = documents.withColumn("__wanted", wanted).join(generic, bare_title(F.col("__wanted")) == F.col("__title"), "left")
+    none = extension("name").isin(".csv", ".tsv", ".xlsx") | F.coalesce("__generic", F.lit(False))
+    return marked.withColumn("expected", F.when(~none, F.col("__wanted"))).drop("__wanted", "__title", "__generic")
+
+
 def entity_check(code: Column, municipalities: Column, date: Column, text: Column) -> Column:
     """Check that a code, the places and the year of an alert stand in a text: the mean of those that are asked for."""
     norm = comparison_form(text)

@@ -91,10 +91,27 @@ def unexpected(reconciled: DataFrame, expected: DataFrame) -> DataFrame:
     return reconciled.where("side = 'extra'").select("path").join(expected, "path", "left_anti").distinct()
 
 
-def reconciliation_totals(reconciled: DataFrame, noise: int = 0) -> DataFrame:
-    """One row: counts of each side, and whether both + extra + noise is what is on the disk."""
+def reconciliation_totals(reconciled: DataFrame, scanned: DataFrame) -> DataFrame:
+    """One row: counts of each side, the files scanned(role) and the noise among them, and whether indexed + extras + noise makes the files scanned.
+
+    The identity fails where a path stands more than once in the index or on the disk, or where a file was lost on the way to reconciliation.
+    """
     n = lambda s: F.count_if(F.col("side") == s)
-    return reconciled.agg(n("both").alias("indexed"), n("extra").alias("extras"), n("missing").alias("missing"), F.lit(noise).alias("noise"), (n("both") + n("extra") + noise == F.count_if(F.col("side") != "missing") + noise).alias("identity"))
+    sides = reconciled.agg(n("both").alias("indexed"), n("extra").alias("extras"), n("missing").alias("missing"))
+    disk = scanned.agg(F.count("*").alias("scanned"), F.count_if(F.col("role") == "noise").alias("noise"))
+    return sides.crossJoin(disk).withColumn("identity", F.col("indexed") + F.col("extras") + F.col("noise") == F.col("scanned"))  # a row of totals each
+
+
+def unequal_sets(actual: DataFrame, expected: DataFrame, column: str) -> DataFrame:
+    """(column, side) of the values that one side has and the other hasn't: `unexpected` or `missing`. Empty if the sets are equal; nulls are a value."""
+    a, b = actual.select(column).distinct(), expected.select(column).distinct()
+    return a.exceptAll(b).withColumn("side", F.lit("unexpected")).unionByName(b.exceptAll(a).withColumn("side", F.lit("missing")))
+
+
+def assert_same_set(actual: DataFrame, expected: DataFrame, column: str, what: str = "values") -> None:
+    """Raises, naming some of them, if one side has values that the other hasn't: the strict mode."""
+    if odd := unequal_sets(actual, expected, column).orderBy("side", column).limit(10).collect():
+        raise ValueError(f"{what} differ: " + ", ".join(f"{r['side']} {r[column]}" for r in odd))
 
 
 def catalog_references(records: DataFrame, codes: DataFrame | None = None) -> DataFrame:

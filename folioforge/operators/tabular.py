@@ -68,4 +68,4 @@ def forward_fill(df: DataFrame, column: str, partition: list[str], order: list[s
 def split_documents(df: DataFrame, column: str) -> DataFrame:
     """A row for each line of a cell that names documents; `name` and, after white space, an older id."""
     lines = F.filter(F.transform(F.split(column, "\n"), normalize_value), lambda x: x != "")
-    return df.withColumn("__line", F.explode(lines)).withColumns({"name": F.regexp_extract("__line", r"^(\S.*?\.\w{2,5})(?:\s|$)", 1), "legacy": F.nullif(F.regexp_extract("__line", r"\s(\S+)$", 1), F.lit(""))}).drop("__line")
+    return df.withColumn("__line", F.explode(lines)).withColumns({"name": F.regexp_extract("__line", r"^(\S.*?\.\w{2,5})(?:\s|$)", 1), "legacy": F.nullif(F.regexp_extract("__line", r"^\S.*?\.\w{2,5}\s+(\S+)$", 1), F.lit(""))}).drop("__line")

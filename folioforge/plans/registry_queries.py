@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import metadata as M
+from ..operators import quality as Q
 from ..operators import registry as R
 from ..operators import reports
 from .registry import query, read
@@ -57,9 +58,31 @@ def reconcile_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sides(spark, sf_dir).select("path", "side")
 
 
-@query(f"with {SIDES} select count_if(side = 'both') as indexed, count_if(side = 'extra') as extras, count_if(side = 'missing') as missing, 3 as noise, true as identity from sides")
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of _sides' disk, and junk files as noise."""
+    d = read(spark, sf_dir, "documents")
+    disk = d.where("doc_id % 7 <> 0").select(F.lit("retrievable").alias("role"))
+    return disk.unionByName(d.where("source = 'web' and length(text) < 40").select(F.lit("noise").alias("role")))
+
+
+@query(f"""with {SIDES}, n as (select count_if(source = 'web' and length(text) < 40) as noise, count_if(doc_id % 7 <> 0) as files from documents)
+ select count_if(side = 'both') as indexed, count_if(side = 'extra') as extras, count_if(side = 'missing') as missing, any_value(files + noise) as scanned, any_value(noise) as noise, count_if(side <> 'missing') + any_value(noise) = any_value(files + noise) as identity from sides, n""")
 def reconcile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.reconciliation_totals(_sides(spark, sf_dir), noise=3)
+    return R.reconciliation_totals(_sides(spark, sf_dir), _scanned(spark, sf_dir))
+
+
+@query(f"""with {SIDES}, n as (select count_if(source = 'web' and length(text) < 40) as noise, count_if(doc_id % 7 <> 0) as files from documents), l as (select * from sides where path not like '%9')
+ select count_if(side = 'both') as indexed, count_if(side = 'extra') as extras, count_if(side = 'missing') as missing, any_value(files + noise) as scanned, any_value(noise) as noise, count_if(side <> 'missing') + any_value(noise) = any_value(files + noise) as identity from l, n""")
+def reconcile_totals_of_lost_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that never reached reconciliation: the identity has to fail."""
+    return R.reconciliation_totals(_sides(spark, sf_dir).where("path not like '%9'"), _scanned(spark, sf_dir))
+
+
+@query("""with a as (select distinct source || '-' || (n_chars % 50) as v from documents where doc_id % 3 <> 0), b as (select distinct source || '-' || (n_chars % 50) as v from documents where doc_id % 4 <> 0)
+ select v as value, 'unexpected' as side from a anti join b using (v) union all select v, 'missing' from b anti join a using (v)""")
+def set_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit("-"), F.col("n_chars") % 50).alias("value"))
+    return R.unequal_sets(d.where("doc_id % 3 <> 0"), d.where("doc_id % 4 <> 0"), "value")
 
 
 @query(f"with {SIDES} select path from sides where side = 'extra' and path not in (select source || '/' || doc_id from documents where doc_id % 3 = 0)")
@@ -119,7 +142,40 @@ def clean_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", M.clean_authors(raw).alias("x")).select("c_custkey", "x.authors", "x.dropped")
 
 
-@query("""select doc_id, case when doc_id % 3 = 2 then null when doc_id % 3 = 1 then 'report on water quality ' || doc_id end as title, lpad(cast(doc_id % 1000 as varchar), cast(greatest(3, length(cast(doc_id % 1000 as varchar))) as integer), '0') || '-' || lpad(cast(doc_id % 100 as varchar), 2, '0') as code from documents""")
+_NAMED = r"""names as (select doc_id, source, lang, ['ABC_', 'X1_', 'ABCDEFGHIJKLM-', 'F07-', '', 'AB_190626-'][1 + doc_id % 6] || replace(array_to_string(regexp_extract_all(text, '[\p{L}]+')[1:5], chr(1)), chr(1), ['-', '_', ' ', '--'][1 + doc_id % 4]) || ['', '-12', '_final', ' V2', '-harrisonjohnsonyoung'][1 + doc_id % 5] || ['.pdf', '.csv', '.json'][1 + doc_id % 3] as name from documents),
+ w as (select *, list_filter(regexp_split_to_array(regexp_replace(regexp_replace(name, '\.[^.]*$', ''), '^[A-Z0-9]{3,12}[-_]', ''), '[-_\s]+'), lambda x: x <> '') as ws from names),
+ t as (select *, case when len(list_filter(ws, lambda x: length(x) >= 4 and regexp_matches(x, '\p{L}'))) >= 3 and not regexp_full_match(ws[1], '\d{5,8}') and len(list_filter(ws, lambda x: list_contains(NOISE, lower(x)) or regexp_full_match(x, '\p{L}{16,}'))) = 0 then array_to_string(ws, ' ') end as title from w)"""
+NAMED = _NAMED.replace("NOISE", str(list(M.NAME_NOISE)))
+
+
+def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names made of a document's first words, with prefixes, separators, endings and formats of several kinds."""
+    one = lambda of, n: F.element_at(F.array(*map(F.lit, of)), (F.col("doc_id") % n + 1).cast("int"))
+    words = F.slice(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0)), 1, 5)
+    joined = F.array_join(words, "\x01")
+    name = F.concat(one(["ABC_", "X1_", "ABCDEFGHIJKLM-", "F07-", "", "AB_190626-"], 6), F.replace(joined, F.lit("\x01"), one(["-", "_", " ", "--"], 4)), one(["", "-12", "_final", " V2", "-harrisonjohnsonyoung"], 5), one([".pdf", ".csv", ".json"], 3))
+    return read(spark, sf_dir, "documents").select("doc_id", "source", "lang", name.alias("name"))
+
+
+@query(f"with {NAMED} select doc_id, title from t")
+def file_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _named(spark, sf_dir).select("doc_id", M.title_of("name").alias("title"))
+
+
+@query(rf"""with f as (select doc_id, case when doc_id % 5 = 0 then 'Center for ' || source || ' studies' when doc_id % 5 = 1 then 'ABC_annual-report-about-' || lang || '-' || doc_id else 'ABC_' || array_to_string(regexp_extract_all(text, '\p{{L}}{{4,9}}')[1:4], '-') end || case when doc_id % 7 = 0 then '.csv' else '.pdf' end as name, case when doc_id % 11 = 0 then 'A title of catalog ' || doc_id end as reference_title from documents),
+ w as (select *, list_filter(regexp_split_to_array(regexp_replace(regexp_replace(name, '\.[^.]*$', ''), '^[A-Z0-9]{{3,12}}[-_]', ''), '[-_\s]+'), lambda x: x <> '') as ws from f),
+ t as (select *, case when len(list_filter(ws, lambda x: length(x) >= 4 and regexp_matches(x, '\p{{L}}'))) >= 3 and len(list_filter(ws, lambda x: list_contains({list(M.NAME_NOISE)}, lower(x)))) = 0 then array_to_string(ws, ' ') end as title from w),
+ g as (select regexp_replace(title, '\s+\d+$', '') as b from t where title is not null group by 1 having count(*) >= 3)
+ select doc_id, case when name not like '%.csv' and regexp_replace(coalesce(reference_title, title), '\s+\d+$', '') not in (select b from g) then coalesce(reference_title, title) end as expected from t""")
+def expected_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    words = F.slice(F.regexp_extract_all("text", F.lit(r"\p{L}{4,9}"), F.lit(0)), 1, 4)
+    name = F.when(i % 5 == 0, F.concat(F.lit("Center for "), "source", F.lit(" studies"))).when(i % 5 == 1, F.concat(F.lit("ABC_annual-report-about-"), "lang", F.lit("-"), i)).otherwise(F.concat(F.lit("ABC_"), F.array_join(words, "-")))
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.concat(name, F.when(i % 7 == 0, ".csv").otherwise(".pdf")).alias("name"), F.when(i % 11 == 0, F.concat(F.lit("A title of catalog "), i)).alias("reference_title"))
+    return Q.expected_titles(docs).select("doc_id", "expected")
+
+
+@query("""select doc_id, case when doc_id % 3 = 2 then null when doc_id % 3 = 1 then 'AB report on water quality ' || doc_id end as title, lpad(cast(doc_id % 1000 as varchar), cast(greatest(3, length(cast(doc_id % 1000 as varchar))) as integer), '0') || '-' || lpad(cast(doc_id % 100 as varchar), 2, '0') as code from documents""")
 def names_and_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("doc_id")
     name = F.when(i % 3 == 1, F.concat(F.lit("AB_report-on-water_quality-"), i, F.lit(".pdf"))).when(i % 3 == 0, F.concat(F.lit("AB_20230101-file-"), i, F.lit(".pdf"))).otherwise("AB_annualreportwithoutspaces.pdf")

@@ -57,12 +57,24 @@ def json_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.harvest(_json(spark, sf_dir).where("shape = 'unrecognized'").select("doc_id", "v")).select("doc_id", "text")
 
 
-@query("""select doc_id, lpad(cast(doc_id % 90 as varchar), 3, '0') || '-21' as code, doc_id % 2 = 0 as confirmed from documents where doc_id % 3 < 2""")
-def alert_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Lines that announce a code, and lines that hold none: an address, a dialling code, a number in a range.
+_ALERT_LINES = ["Carrera 9 no. 16 - 21, centro", "call the canton 555-12 today", "Alerta Temprana N° {a} – {b} de riesgo", "Alertas Tempranas de 2019: {a}-{b}", "resolucion Nº {a}-{b}", "A.T. {a}-{b}", "see {a}-{b} there", "paginas N° 1{a}-{b}-7"]
+_RE2_CODE = r"(?i)(?:alerta[s]?\s+temprana[s]?|\bA\.?\s?T\.?\b)(?:[^\n]{0,59}?[^\n\d-]|)(\d{1,3})\s?[-–—]\s?(\d{2})(?:[^\d-]|$)"
+_RE2_TIGHT = r"(?i)N[o°ºr.]{0,3}\s?(\d{1,3})[-–—](\d{2})(?:[^\d-]|$)"
+_LINE_SQL = "[" + ", ".join("'" + x.replace("{a}", "' || (doc_id % 90) || '").replace("{b}", "' || (17 + doc_id % 3) || '") + "'" for x in _ALERT_LINES) + "][1 + doc_id % 8]"
+
+
+@query(rf"""with t as (select doc_id, regexp_replace(substring(text, 1, 400), '[0-9]', '', 'g') || chr(10) || {_LINE_SQL} || chr(10) || case when doc_id % 5 = 0 then 'en Puérto  RICO' else substring(text, 401, 3000) end as text from documents),
+ h as (select doc_id, substring(text, 1, 20000) as head from t),
+ c as (select doc_id, head, case when regexp_matches(head, '{_RE2_CODE}') then regexp_extract(head, '{_RE2_CODE}', 1) when regexp_matches(head, '{_RE2_TIGHT}') then regexp_extract(head, '{_RE2_TIGHT}', 1) end as n,
+   case when regexp_matches(head, '{_RE2_CODE}') then regexp_extract(head, '{_RE2_CODE}', 2) when regexp_matches(head, '{_RE2_TIGHT}') then regexp_extract(head, '{_RE2_TIGHT}', 2) end as y from h)
+ select doc_id, lpad(n, 3, '0') || '-' || y as code, contains(trim(regexp_replace(regexp_replace(strip_accents(lower(head)), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')), 'puerto rico') as confirmed from c where n :: int < 90 and y in ('17', '18', '19')""")
+def alert_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with a line that names a code in one of eight ways; two of them are no codes."""
     i = F.col("doc_id")
-    code = F.concat(F.lpad((i % 90).cast("string"), 3, "0"), F.lit("-21"))
-    text = F.when(i % 3 == 0, F.concat(F.lit("Alerta Temprana N° "), code, F.lit(" and 999-98 "), F.when(i % 2 == 0, "in Puerto Rico").otherwise("nowhere"))).when(i % 3 == 1, F.concat(F.lit("see "), code, F.when(i % 2 == 0, " puerto  RICO").otherwise(""))).otherwise("no code")
-    alerts = spark.range(90).select(F.concat(F.col("id").cast("string"), F.lit("-21")).alias("code"), F.array(F.lit("Puerto Rico")).alias("municipalities"))
+    lines = F.array(*(F.replace(F.replace(F.lit(x), F.lit("{a}"), (i % 90).cast("string")), F.lit("{b}"), (17 + i % 3).cast("string")) for x in _ALERT_LINES))
+    text = F.concat(F.regexp_replace(F.substring("text", 1, 400), "[0-9]", ""), F.lit("\n"), F.element_at(lines, (1 + i % 8).cast("int")), F.lit("\n"), F.when(i % 5 == 0, "en Puérto  RICO").otherwise(F.substring("text", 401, 3000)))
+    alerts = spark.range(90 * 3).select(F.concat((F.col("id") % 90).cast("string"), F.lit("-"), (17 + F.floor(F.col("id") / 90)).cast("string")).alias("code"), F.array(F.lit("Puerto Rico")).alias("municipalities"))
     return J.match_alerts(read(spark, sf_dir, "documents").select("doc_id", text.alias("text")), alerts)
 
 
@@ -150,7 +162,8 @@ def pdf_page_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select r_regionkey, to_json({'r_regionkey': r_regionkey, 'r_name': r_name}) as value from region")
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read(spark, sf_dir, "region")
-    return r.select("r_regionkey", F.to_json(F.struct("r_regionkey", "r_name"), {"ignoreNullFields": "true"}).alias("value"))
+    lines = files.to_json_lines(r.select("r_regionkey", "r_name"))
+    return lines.select(F.get_json_object("value", "$.r_regionkey").cast("int").alias("r_regionkey"), "value")
 
 
 @query("select 'r' || (event_id % 12) as reason, count(*) as n from events where event_id % 3 = 0 group by 1 order by n desc, reason limit 10")

@@ -86,10 +86,21 @@ def text_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""with l as (select doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') as ls from documents)
  select doc_id, case when len(ls) < 3 then 0.5 else round(1 - len(list_filter(range(2, len(ls) + 1), lambda i: regexp_matches(ls[i], '^\s*\p{Ll}') and regexp_matches(ls[i - 1], '[.!?:;]\s*$'))) / (len(ls) - 1), 4) end as continuity from l""")
-def reading_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def structural_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", segmentation.structural_continuity(F.col("text")).alias("continuity"))
 
 
+@query(rf"""with {LANGUAGE}, p as (select *, string_split(text, chr(10)) as lines, {TOKENS.format(n=20000)} as t2, regexp_extract_all(substring(text, 1, 20000), '[\p{{L}}\p{{N}}_]+-\n[\p{{L}}\p{{N}}_]+') as joins from sure),
+ l as (select *, list_filter(lines, lambda x: trim(x) <> '') as ls from p),
+ s as (select *, case when len(ls) < 3 then 0.5 else round(1 - len(list_filter(range(2, len(ls) + 1), lambda i: regexp_matches(ls[i], '^\s*\p{{Ll}}') and regexp_matches(ls[i - 1], '[.!?:;]\s*$'))) / (len(ls) - 1), 4) end as st,
+   len(list_filter(t2, lambda x: list_contains(case language {" ".join(f"when '{k}' then {in_list(T.STOPWORDS[k])}" for k in T.STOPWORDS)} end, x))) / nullif(len(t2), 0) as share,
+   case when len(joins) = 0 then 0.5 else len(list_filter(joins, lambda j: length(j) - 2 > 5)) / len(joins) end as hy from l)
+ select doc_id, round(case when trim(text) = '' then 0.0 when script is distinct from 'latin' or language is null or len(t2) < 20 then st else 0.55 * least(share / 0.30, 1.0) + 0.15 * hy + 0.30 * st end, 4) as continuity from s""")
+def reading_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = T.with_language(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", segmentation.reading_continuity(F.col("text"), F.col("language"), F.col("script")).alias("continuity"))
+
+
 def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a made-up physical layout: every third with a second column, every third with a table's gap."""
     text = F.regexp_replace("text", r"([^\n]{60})", "$1\n")
@@ -122,6 +133,15 @@ def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentation.boilerplate(_pages(spark, sf_dir))
 
 
+@query(rf"""with k as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) // 4 as page from documents),
+ g as (select doc_id, page, sum(length(regexp_replace(line, '[-{WS}]', '', 'g'))) as n from k where page % 7 = 6 group by 1, 2) select doc_id, page, n :: bigint as n_chars from g where n > 0""")
+def segmented_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of tables: what their blocks hold, hyphens at line ends apart, is what the pages hold."""
+    s = segment_pages(spark, sf_dir).where("page % 7 = 6")
+    n = F.sum(F.length(F.regexp_replace("text", f"[-{T.WHITE}]", ""))).cast("long")
+    return s.groupBy(F.col("doc_id").cast("long").alias("doc_id"), "page").agg(n.alias("n_chars")).where("n_chars > 0")
+
+
 @query()
 def segment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _pages(spark, sf_dir)
@@ -140,6 +160,50 @@ def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunk(_blocks(spark, sf_dir))
 
 
+def _kept(chunks: DataFrame) -> DataFrame:
+    """What a document's chunks hold together: tokens, text without white space, and how many are over the limit."""
+    per = chunks.groupBy("doc_id").agg(F.sum("num_tokens").alias("n_tokens"), F.count_if(F.col("num_tokens") > chunking.MAX_TOKENS).alias("n_over"), F.array_sort(F.collect_list(F.struct("position", "text"))).alias("c"))
+    whole = F.regexp_replace(F.array_join(F.transform("c", lambda c: c["text"]), ""), f"[{T.WHITE}]", "")
+    in_order = F.transform("c", lambda c: c["position"]) == F.sequence(F.lit(0), F.size("c") - 1)
+    return per.select(F.col("doc_id").cast("long").alias("doc_id"), "n_tokens", "n_over", F.md5(whole.cast("binary")).alias("digest"), in_order.alias("in_order"))
+
+
+_KEPT_SQL = rf"""select doc_id, len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{WS}]')) as n_tokens, 0 as n_over, md5(regexp_replace(text, '[{WS}]', '', 'g')) as digest, true as in_order from documents where regexp_matches(text, '[^{WS}]')"""
+
+
+@query(_KEPT_SQL)
+def chunks_keep_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as blocks, short first ones as headings: nothing is lost and nothing is over."""
+    return _kept(chunk_documents(spark, sf_dir))
+
+
+@query(_KEPT_SQL)
+def chunks_keep_whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept(chunk_whole_documents(spark, sf_dir))
+
+
+@query(_KEPT_SQL)
+def chunks_keep_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second line is a heading, however long: in a row, at the end, over the limit."""
+    return _kept(chunking.chunk(_blocks(spark, sf_dir).withColumn("type", F.when(F.col("ord") % 3 < 2, "heading").otherwise("paragraph"))))
+
+
+_PIECES = rf"""p as (select doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '^[{WS}]+|[{WS}]+$', '', 'g'), '\n[{WS}]*\n+'), lambda x: regexp_replace(x, '^[{WS}]+|[{WS}]+$', '', 'g')), lambda x: x <> '') as ps from documents),
+ t as (select doc_id, unnest(ps) as para, unnest(range(len(ps))) as i from p), k as (select doc_id, i, len(regexp_extract_all(para, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{WS}]')) as n from t)"""
+
+
+@query(rf"with {_PIECES} select doc_id, i as paragraph, greatest(1, (n + 49) // 50) as n_pieces, least(n, 50) as most from k")
+def hard_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs cut hard at 50 tokens, as documents of one heading each, which the chunker cuts so and not otherwise."""
+    text = F.regexp_replace("text", rf"^[{T.WHITE}]+|[{T.WHITE}]+$", "")
+    paragraphs = F.filter(F.transform(F.split(text, rf"\n[{T.WHITE}]*\n+"), lambda x: F.regexp_replace(x, rf"^[{T.WHITE}]+|[{T.WHITE}]+$", "")), lambda x: x != "")
+    d = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(paragraphs).alias("i", "text"))
+    block = F.struct(F.lit(0).cast("long").alias("ord"), F.lit("b").alias("block_id"), F.lit("heading").alias("type"), "text", F.lit(1).alias("page"), F.lit("native").alias("method"), F.lit(0.8).alias("confidence"))
+    chunks = chunking.chunk_folded(d.select(F.concat_ws(":", "doc_id", "i").alias("doc_id"), F.array(block).cast(chunking.BLOCK).alias("blocks")), 50)
+    part = lambda n: F.element_at(F.split("doc_id", ":"), n).cast("long")
+    return chunks.groupBy("doc_id").agg(F.count("*").alias("n_pieces"), F.max("num_tokens").alias("most")).select(part(1).alias("doc_id"), part(2).alias("paragraph"), "n_pieces", "most")
+
+
 @query()
 def chunk_whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of one block each: no shuffle."""
@@ -148,6 +212,12 @@ def chunk_whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunk_folded(docs)
 
 
+@query(rf"""with d as (select doc_id, doc_id % 10 = 0 as skipped, regexp_matches(text, '[^{WS}]') as filled, length(text) as n from documents)
+ select count(*) as seen, count_if(filled and not skipped) as chunked, count_if(skipped) as structured_only, count_if(not skipped and not coalesce(filled, false)) as empty, 0 as oversize from d""")
+def chunk_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_statistics(spark, sf_dir).select("seen", "chunked", "structured_only", "empty", "oversize")
+
+
 @query()
 def chunk_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 10 == 0, "structured_only").otherwise("full").alias("hint"))

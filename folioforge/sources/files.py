@@ -95,7 +95,7 @@ def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
 
 def _named_columns(cells: DataFrame, headers: list[str], header_row: DataFrame) -> DataFrame:
     """cells with a map from header to value, by the letters under which header_row(path, sheet, letters) has each header."""
-    both = cells.join(F.broadcast(header_row), ["path", "sheet"])
+    both = cells.join(header_row, ["path", "sheet"])
     values = F.map_from_arrays(F.array(*map(F.lit, headers)), F.transform(F.array(*map(F.lit, headers)), lambda h: normalize_value(F.try_element_at("cells", F.try_element_at("letters", h)))))
     return both.where(F.col("row") > F.col("header_row")).select("path", "sheet", "sheet_order", "row", values.alias("values"))
 
@@ -132,7 +132,7 @@ def dataset_rows(cells: DataFrame) -> DataFrame:
     """(path, sheet, row, names, values) of workbooks as data: blank rows skipped, the first other row being the header."""
     filled = cells.where(F.exists(F.map_values("cells"), lambda v: F.coalesce(normalize_value(v), F.lit("")) != ""))
     first = filled.groupBy("path", "sheet").agg(F.min_by(F.struct("cells", F.col("row").alias("h")), "row").alias("x")).select("path", "sheet", F.col("x.cells").alias("head"), F.col("x.h").alias("header_row"))
-    both = filled.join(F.broadcast(first), ["path", "sheet"]).where("row > header_row")
+    both = filled.join(first, ["path", "sheet"]).where("row > header_row")
     letters = F.array_sort(F.map_keys("head"), lambda a, b: F.when(F.length(a) != F.length(b), F.length(a) - F.length(b)).when(a < b, -1).when(a > b, 1).otherwise(0))
     return both.select("path", "sheet", "row", F.transform(letters, lambda k: F.element_at("head", k)).alias("names"), F.transform(letters, lambda k: normalize_value(F.try_element_at("cells", k))).alias("values"))
 

@@ -41,11 +41,11 @@ def test_units():
 
 def test_headings():
     chunks = C.chunk_blocks("D", [block(0, "heading", "Old"), block(1, "heading", "New"), block(2, "paragraph", "Text here.")])
-    assert [c["text"] for c in chunks] == ["New\n\nText here."] and chunks[0]["section"] == "New" and chunks[0]["chunk_id"] == "D-chunk-0000"
+    assert [(c["text"], c["section"]) for c in chunks] == [("Old", "Old"), ("New\n\nText here.", "New")] and chunks[0]["chunk_id"] == "D-chunk-0000"
     chunks = C.chunk_blocks("D", [block(0, "heading", "h " * 10), block(1, "paragraph", "w " * 15)], 20)
     assert max(c["num_tokens"] for c in chunks) <= 20
     chunks = C.chunk_blocks("D", [block(0, "paragraph", "Body."), block(1, "heading", "h " * 300)])
-    assert [c["block_types"] for c in chunks] == [["paragraph"], ["heading"]]
+    assert [c["block_types"] for c in chunks] == [["paragraph"], ["heading"], ["heading"]] and max(c["num_tokens"] for c in chunks) <= 220
     chunks = C.chunk_blocks("D", [block(0, "heading", "h " * 300), block(1, "paragraph", "Body.")])
     assert max(c["num_tokens"] for c in chunks) <= 220 and chunks[0]["strategy"] == "hard_token_split" and chunks[-1]["text"] == "Body."
     assert C.chunk_blocks("D", []) == []
@@ -54,7 +54,7 @@ def test_headings():
 def test_no_word_is_lost_and_none_is_over():
     rng = random.Random(1)
     for _ in range(50):
-        blocks = [block(i, rng.choice(["paragraph", "paragraph", "list_item"]), " ".join(rng.choice(["a", "bb.", "c,", "dd!", "e\n\nf"]) for _ in range(rng.randrange(1, 120)))) for i in range(6)]
+        blocks = [block(i, rng.choice(["paragraph", "paragraph", "list_item", "heading"]), " ".join(rng.choice(["a", "bb.", "c,", "dd!", "e\n\nf"]) for _ in range(rng.randrange(1, 120)))) for i in range(6)]
         chunks = C.chunk_blocks("D", blocks, 30)
         assert all(c["num_tokens"] <= 30 for c in chunks)
         words = lambda s: "".join(s.split())
