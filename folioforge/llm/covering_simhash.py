@@ -83,9 +83,26 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", fp_col: str = "fp
     return map_arrow(docs, add, StructType([*docs.schema.fields, StructField(fp_col, LongType())]))
 
 
+def _reached(fps: np.ndarray, radius: int) -> np.ndarray:
+    """The same by search in width: what a fingerprint reaches leaves the set that is still searched, so a group of near copies is soon done."""
+    root, left = np.arange(len(fps)), np.arange(len(fps))
+    while len(left):
+        start, left = left[0], left[1:]
+        queue = [start]
+        while queue and len(left):
+            near = np.bitwise_count(fps[left] ^ fps[queue.pop()]) <= radius
+            if near.any():
+                root[left[near]] = start
+                queue += left[near].tolist()
+                left = left[~near]
+    return fps[root]
+
+
 def _roots(fps: np.ndarray, free: tuple[int, ...], radius: int = RADIUS) -> np.ndarray:
     """For each of some distinct fingerprints that differ in free positions only: one fingerprint of its linked set."""
     n = len(fps)
+    if n > BY_PAIRS and radius > RADIUS:
+        return _reached(fps, radius)
     parent = np.arange(n)
 
     def find(i: int) -> int:
@@ -99,17 +116,6 @@ def _roots(fps: np.ndarray, free: tuple[int, ...], radius: int = RADIUS) -> np.n
             for j in np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= radius) + i + 1:
                 if (a := find(i)) != (b := find(int(j))):
                     parent[max(a, b)] = min(a, b)
-    elif radius > RADIUS:  # too many flips: covering masks of the free positions cut the group again
-        for mask, still in masks(radius, 1, free):
-            held = fps & np.uint64(mask)
-            order = np.argsort(held, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, held[order][1:] != held[order][:-1]])
-            for own in np.split(order, cuts[1:]):
-                if len(own) > 1:
-                    place = {int(f): int(i) for f, i in zip(fps[own], own, strict=True)}
-                    for i, r in zip(own.tolist(), _roots(fps[own], still, radius).tolist(), strict=True):
-                        if (a := find(i)) != (b := find(place[r])):
-                            parent[max(a, b)] = min(a, b)
     else:
         order = np.argsort(fps)
         ranked = fps[order]
