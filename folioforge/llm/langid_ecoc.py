@@ -19,6 +19,8 @@ from .common import crc_mod, map_arrow
 
 #: Bounds of the training sample: documents for each language; documents in all, beyond which each language gives fewer, though FEWEST at least.
 PER_LANGUAGE, IN_ALL, FEWEST = 300, 60_000, 20
+#: Languages whose counts are sent to every task.
+FEW_LANGUAGES = 100_000
 #: Parts into which a sampled text is cut, and the characters of a part at least; together they are the whole text.
 PIECES, PIECE_CHARS = 3, 500
 BINS_BITS = 12
@@ -115,8 +117,10 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_ALL)
     rows = docs.select(crc_mod("doc_id", 3).alias("fold"), "text", "lang", F.xxhash64(F.lit("sample"), "doc_id").alias("h"))
     rows = rows.where(F.coalesce(F.col("fold") != HELD_OUT, F.lit(False)) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    per = max(FEWEST, min(per_language, in_all // max(1, sizes.count())))
-    chosen = rows.join(sizes, "lang").where(F.pmod("h", F.lit(1 << 24)) * F.col("n") < F.lit(float(per << 24)))
+    languages = sizes.count()
+    per = max(FEWEST, min(per_language, in_all // max(1, languages)))
+    # A few languages hold all rows, so a join by language would deal their texts to a few tasks; their counts are sent to all instead.
+    chosen = rows.join(F.broadcast(sizes) if languages <= FEW_LANGUAGES else sizes, "lang").where(F.pmod("h", F.lit(1 << 24)) * F.col("n") < F.lit(float(per << 24)))
     found = sorted((r["lang"], r["h"], bytes(r["counted"])) for r in map_arrow(chosen.select("lang", "h", "text"), _count_parts, "lang string, h long, counted binary").toLocalIterator())
     languages = sorted({r[0] for r in found})
     if not languages:
