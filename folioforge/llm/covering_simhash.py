@@ -26,7 +26,7 @@ from .common import cut, map_arrow
 from .components import connected_components
 
 RADIUS, SEED, WORDS = 2, 42, 3
-#: Groups of up to so many fingerprints are compared pair by pair, larger ones by looking up each one's neighbours.
+#: Groups of up to so many fingerprints are compared in a search in width, larger ones (within RADIUS) by looking up each one's neighbours.
 BY_PAIRS = 2048
 
 
@@ -84,7 +84,10 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", fp_col: str = "fp
 
 
 def _reached(fps: np.ndarray, radius: int) -> np.ndarray:
-    """The same by search in width: what a fingerprint reaches leaves the set that is still searched, so a group of near copies is soon done."""
+    """For each of some distinct fingerprints: one fingerprint of its linked set, by search in width.
+
+    What a fingerprint reaches leaves the set that is still searched, so a group of near copies is soon done.
+    """
     root, left = np.arange(len(fps)), np.arange(len(fps))
     while len(left):
         start, left = left[0], left[1:]
@@ -99,9 +102,9 @@ def _reached(fps: np.ndarray, radius: int) -> np.ndarray:
 
 
 def _roots(fps: np.ndarray, free: tuple[int, ...], radius: int = RADIUS) -> np.ndarray:
-    """For each of some distinct fingerprints that differ in free positions only: one fingerprint of its linked set."""
+    """The same for fingerprints that differ in free positions only: a large group within RADIUS looks up each one's neighbours instead."""
     n = len(fps)
-    if n > BY_PAIRS and radius > RADIUS:
+    if n <= BY_PAIRS or radius > RADIUS:
         return _reached(fps, radius)
     parent = np.arange(n)
 
@@ -111,21 +114,15 @@ def _roots(fps: np.ndarray, free: tuple[int, ...], radius: int = RADIUS) -> np.n
             i = parent[i]
         return i
 
-    if n <= BY_PAIRS:
-        for i in range(n - 1):
-            for j in np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= radius) + i + 1:
-                if (a := find(i)) != (b := find(int(j))):
-                    parent[max(a, b)] = min(a, b)
-    else:
-        order = np.argsort(fps)
-        ranked = fps[order]
-        one = [np.uint64(1 << i) for i in free]
-        for flip in [*one, *(a | b for k, a in enumerate(one) for b in one[k + 1 :])]:
-            to = ranked ^ flip
-            at = np.minimum(np.searchsorted(ranked, to), n - 1)
-            for i in np.flatnonzero((ranked[at] == to) & (at > np.arange(n))):
-                if (a := find(int(order[i]))) != (b := find(int(order[at[i]]))):
-                    parent[max(a, b)] = min(a, b)
+    order = np.argsort(fps)
+    ranked = fps[order]
+    one = [np.uint64(1 << i) for i in free]
+    for flip in [*one, *(a | b for k, a in enumerate(one) for b in one[k + 1 :])]:
+        to = ranked ^ flip
+        at = np.minimum(np.searchsorted(ranked, to), n - 1)
+        for i in np.flatnonzero((ranked[at] == to) & (at > np.arange(n))):
+            if (a := find(int(order[i]))) != (b := find(int(order[at[i]]))):
+                parent[max(a, b)] = min(a, b)
     return fps[[find(i) for i in range(n)]]
 
 
@@ -166,10 +163,14 @@ def _links_of(radius: int, keys: tuple) -> Callable[[Iterator[pd.DataFrame]], It
 
 
 def fingerprint_components(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, root) for each distinct fp of fps(fp): root is the smallest fingerprint reached over links."""
+    """(fp, root) for each row of fps(fp), distinct fingerprints: root is the smallest fingerprint reached over links.
+
+    Fingerprints are dealt out before each becomes its many keys, since Spark would make few tasks of rows so short.
+    """
     own = MASKS if radius == RADIUS else masks(radius, 1)
-    one = fps.select("fp").distinct()
-    keys = one.select("fp", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(m - (m >> 63 << 64))).alias("held")) for k, (m, _) in enumerate(own)))).alias("x")).select("x.k", "x.held", "fp")
+    one = fps.select("fp")
+    dealt = one.repartition(int(one.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    keys = dealt.select("fp", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(m - (m >> 63 << 64))).alias("held")) for k, (m, _) in enumerate(own)))).alias("x")).select("x.k", "x.held", "fp")
     links = keys.repartition("k", "held").sortWithinPartitions("k", "held", "fp").mapInPandas(_links_of(radius, own), "a long, b long")
     found = connected_components(links)
     return one.join(found.select(F.col("node").alias("fp"), F.col("component").alias("root")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
