@@ -6,7 +6,9 @@ or fewer agrees on all kept bits of one of the 7 tables. The positions that a ta
 with at most two different bits agrees on one part whole. So 21 keys a fingerprint meet every pair within the radius: no
 pair is missed, whatever the data.
 
-For a wider radius r the vectors have r + 1 bits, which gives 2 ** (r + 1) - 1 tables; the dropped positions are then not cut further.
+For a wider radius r the vectors have r + 1 bits; the dropped positions are then not cut further. Where there are fewer positions than vectors,
+only vectors with the highest bit are dealt: each table then keeps half of the positions, and the one table that would keep all, which no pair needs,
+goes. 64 positions and r = 6 give 126 tables of 32 kept bits.
 """
 
 from __future__ import annotations
@@ -33,9 +35,13 @@ BY_PAIRS = 2048
 @lru_cache(maxsize=8)
 def masks(radius: int, parts: int, positions: tuple[int, ...] = tuple(range(64))) -> tuple[tuple[int, tuple[int, ...]], ...]:
     """For each key over some bit positions: the mask that it keeps of them, and the positions still free under it."""
-    vector = {p: i % ((2 << radius) - 1) + 1 for i, p in enumerate(positions)}
+    n, half = len(positions), 1 << radius
+    few = n < 2 * half - 1
+    vector = {p: half + i * half // n if few else i % (2 * half - 1) + 1 for i, p in enumerate(positions)}
     out = []
-    for v in range(1, 2 << radius):
+    for v in range(1, 2 * half):
+        if few and v == half:
+            continue
         kept = [i for i in positions if (vector[i] & v).bit_count() & 1]
         dropped = [i for i in positions if i not in kept]
         for part in range(parts):
