@@ -107,6 +107,15 @@ def test_every_pair_in_the_radius_meets(spark, monkeypatch, cut):
     assert all(len(x) == 1 for x in same.values()) and len({min(x) for x in same.values()}) == len(same)
 
 
+def test_wide_masks_are_balanced_and_cover():
+    masks = [m for m, _ in covering_simhash.masks(6, 1)]
+    assert len(masks) == 126 and {m.bit_count() for m in masks} == {32}
+    rng = random.Random(6)
+    for _ in range(2000):
+        d = sum(1 << b for b in rng.sample(range(64), rng.randint(1, 6)))
+        assert any(m & d == 0 for m in masks)
+
+
 @pytest.mark.parametrize("cut", [2048, 8])
 def test_the_wide_radius(spark, monkeypatch, cut):
     monkeypatch.setattr(covering_simhash, "BY_PAIRS", cut)
