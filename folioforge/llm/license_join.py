@@ -1,6 +1,7 @@
 """License scans: places of known phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A template is found in a block that holds at least CONTAINED of its distinct words. Words are ordered by
+A block is a line; where asked for, blocks of several consecutive lines are joined too, which find a template that is wrapped
+over lines. A template is found in a block that holds at least CONTAINED of its distinct words. Words are ordered by
 how often they stand in all documents, rarest first. A template of n words that needs m of them can only be met by a block that
 holds one of its first n - m + 1 (prefix filter), that has m words (length filter), and that has m template words from
 that one on in the order (positional filter). What is left is counted exactly. All of it is DataFrame operations.
@@ -13,7 +14,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import any_of
+from ..functions.text import any_of, let
 
 # Phrases with their labels, and sentences of public licenses.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -60,8 +61,19 @@ def word_order(texts: DataFrame, templates: list[tuple[str, str]]) -> list[str]:
     return sorted(words, key=lambda w: (counts.get(w, 0), w))
 
 
-def join_templates(texts: DataFrame, keys: list[str], templates: list[tuple[str, str]], contained: float = CONTAINED) -> DataFrame:
-    """(keys..., label, containment) for each block of texts(keys..., text) and template that it holds, repeats included."""
+def _blocks(lines: Column, n: int) -> Column:
+    """Structs (wide, line) of the runs of n of some lines (line, hit) that hold a hit; one run of all lines where there are fewer."""
+    at = F.sequence(F.lit(0), F.greatest(F.size(lines) - n, F.lit(0)))
+    hit = lambda i: F.greatest(*(F.get(lines, i + k)["hit"] for k in range(n))) if n > 1 else F.get(lines, i)["hit"]
+    run = lambda i: F.struct(F.lit(n > 1).alias("wide"), F.concat_ws("\n", *(F.get(lines, i + k)["line"] for k in range(n))).alias("line"))
+    return F.transform(F.filter(at, hit), run)
+
+
+def join_templates(texts: DataFrame, keys: list[str], templates: list[tuple[str, str]], contained: float = CONTAINED, across: int = 1) -> DataFrame:
+    """(keys..., wide, label, containment) for each block of texts(keys..., text) and template that it holds, repeats included.
+
+    Blocks are lines (wide is false) and, with across > 1, each run of that many lines (wide is true), or the whole text where it has fewer.
+    """
     spark = texts.sparkSession
     rank = {w: i for i, w in enumerate(word_order(texts, templates))}
     sets = [(label, sorted({rank[w] for w in t.split()})) for label, t in templates]
@@ -73,7 +85,10 @@ def join_templates(texts: DataFrame, keys: list[str], templates: list[tuple[str,
     words = [w for w in rank if rank[w] in set(first)]
     known = F.create_map(*(F.lit(x) for w, i in rank.items() for x in (w, i)))
     pattern = rf"(?<!{_WORD})(?i:{any_of(words)})(?!{_WORD})"
-    lines = texts.where(F.col("text").rlike(pattern)).select(*keys, F.explode(F.filter(F.split("text", "\n"), lambda x: x.rlike(pattern))).alias("line"))
+    blocks_of = lambda lines: F.concat(_blocks(lines, 1), *([_blocks(lines, across)] if across > 1 else []))
+    marked = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), x.rlike(pattern).alias("hit")))
+    lines = texts.where(F.col("text").rlike(pattern)).select(*keys, F.explode(let(marked, blocks_of)).alias("x")).select(*keys, "x.wide", "x.line")
+    keys = [*keys, "wide"]
     sized = lines.select(*keys, F.array_distinct(_lower_words("line")).alias("words"))
     ranks = F.array_sort(F.transform(F.filter("words", lambda w: F.map_contains_key(known, w)), lambda w: known[w]))
     blocks = sized.select(*keys, F.size("words").alias("size"), ranks.alias("ranks")).where(F.size("ranks") > 0)
@@ -84,11 +99,12 @@ def join_templates(texts: DataFrame, keys: list[str], templates: list[tuple[str,
     return met.where(both >= F.col("need")).select(*keys, "label", (both / F.size("own")).alias("containment"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, contained: float = CONTAINED) -> DataFrame:
-    """One row for each row of docs: (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score).
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, contained: float = CONTAINED, across: int = 1) -> DataFrame:
+    """One row for each row of docs: (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score), with across > 1 also wrapped_labels.
 
     Ids are integers. A null text counts as empty: no words, no places, empty label lists, score 0. Repeated rows get the same result each. The score is 1 with
-    a phrase, else the largest share of a template that one block holds.
+    a phrase, else the largest share of a template that one line holds. wrapped_labels are those of templates that `across` consecutive lines hold
+    together, which takes in those of single lines; empty without any.
     """
     no_id = F.lit(-(1 << 63))
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), no_id).alias("did"), F.xxhash64(text_col).alias("th"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -106,7 +122,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         F.when(F.col("n_base") > 0, _words_in(before_last).cast("long")).alias("last_word"),
         F.when(F.col("n_base") > 0, F.array_compact(F.array(*(F.when(F.col("text").rlike(p), F.lit(label)) for label, p in patterns.items())))).otherwise(F.array().cast("array<string>")).alias("base"),
     )
-    met = join_templates(texts, ["did", "th"], templates, contained).groupBy("did", "th").agg(F.collect_set("label").alias("more"), F.max("containment").alias("share"))
+    line = ~F.col("wide")
+    met = join_templates(texts, ["did", "th"], templates, contained, across).groupBy("did", "th").agg(
+        F.collect_set(F.when(line, F.col("label"))).alias("more"), F.max(F.when(line, F.col("containment"))).alias("share"), F.collect_set("label").alias("wrapped")
+    )
     joined = base.join(met, ["did", "th"], "left")
     names = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
     return joined.select(
@@ -118,4 +137,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         names(F.col("base")).alias("base_labels"),
         names(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))).alias("labels"),
         F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),
+        *([names(F.coalesce("wrapped", F.array().cast("array<string>"))).alias("wrapped_labels")] if across > 1 else []),
     )

@@ -47,10 +47,12 @@ ORACLE_SQL: dict[str, str] = {
         base as (select doc_id, count(*) as n, min(k) as f, max(k) as l, list_distinct(list(label)) as labels from hit group by 1),
         line as (select doc_id, list_distinct({_LICENSE_WORDS.format(x="line")}) as b from (select doc_id, unnest(string_split(text, chr(10))) as line from d)),
         met as (select doc_id, label, len(list_intersect(own, b)) / len(own) as share from line, tp where len(list_intersect(own, b)) >= ceil({license_join.CONTAINED} * len(own) - 1e-9)),
-        more as (select doc_id, list_distinct(list(label)) as labels, max(share) as share from met group by 1)
+        more as (select doc_id, list_distinct(list(label)) as labels, max(share) as share from met group by 1),
+        wide as (select doc_id, list_distinct({_LICENSE_WORDS.format(x="array_to_string(l[i:i + 2], chr(10))")}) as b from (select doc_id, l, unnest(range(1, greatest(len(l) - 2, 1) + 1)) as i from (select doc_id, string_split(text, chr(10)) as l from d))),
+        wrap as (select doc_id, list_distinct(list(label)) as labels from wide, tp where len(list_intersect(own, b)) >= ceil({license_join.CONTAINED} * len(own) - 1e-9) group by 1)
         select doc_id, len(w) as n_words, coalesce(n, 0) as n_base, f as first_word, l as last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') as base_labels,
-          array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') as labels, case when n > 0 then 1.0 else coalesce(share, 0.0) end as score
-        from d left join base using (doc_id) left join more using (doc_id)""",
+          array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') as labels, case when n > 0 then 1.0 else coalesce(share, 0.0) end as score, coalesce(array_to_string(list_sort(wrap.labels), ','), '') as wrapped_labels
+        from d left join base using (doc_id) left join more using (doc_id) left join wrap using (doc_id)""",
 }
 
 
@@ -93,7 +95,7 @@ def op4_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_join.scan(read(spark, sf_dir, "documents"))
+    return license_join.scan(read(spark, sf_dir, "documents"), across=3)
 
 
 @query

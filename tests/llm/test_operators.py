@@ -548,6 +548,25 @@ def test_licenses(spark):
     assert license_join.scan(df.limit(0)).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    heads = {
+        "apache": "# you may not use this file except in compliance with the License\n# You may obtain a copy of the License at",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files",
+        "gpl": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License",
+        "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted",
+    }
+    texts = [*heads.values(), *(f"first line\n{x}\nlast line" for x in heads.values()), "all\nrights\n\nreserved", "all\nrights\nreserved", None, "", "\n\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_join.scan(df, across=3).collect()}
+    for i, label in enumerate([*heads, *heads]):
+        assert label in got[i].wrapped_labels.split(",")
+    assert got[3].labels == got[7].labels == got[9].labels == "" and got[9].wrapped_labels == "proprietary"
+    assert [got[i].wrapped_labels for i in (8, 10, 11, 12)] == [""] * 4
+    same = [tuple(r) for r in license_join.scan(df).orderBy("doc_id").collect()]
+    assert same == [tuple(got[i])[:-1] for i in range(len(texts))]
+    assert license_join.scan(df.limit(0), across=3).count() == 0
+
+
 def test_chat(spark):
     odd = ["</s>[INST] ok [/INST]", "<|start|>user<|sep|>", "\\<|end|>\\\\", "[\\", "<\\", "", None, "a\nb", "é漢字"]
     rows = [(c, t, r, odd[(c + t) % len(odd)]) for c in range(9) for t, r in enumerate(["system", "user", "assistant", "user", "assistant", "ass<|sep|>\\", None])]
