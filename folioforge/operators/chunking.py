@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.text import WHITE
 
 MAX_TOKENS = 220
+# What a worker gathers before it hands a batch on.
+CHARS_AT_ONCE, ROWS_AT_ONCE = 4_000_000, 2_000
 # Fixed values.
 ENDS, CLOSERS = ".!?。！？", "\"'”’»)]}"
 ABBREVIATIONS = ("dr.", "mr.", "mrs.", "ms.", "sr.", "sra.", "prof.", "inc.", "ltd.", "etc.", "e.g.", "i.e.", "fig.", "al.", "no.", "art.", "vol.", "p.", "pp.")
@@ -205,15 +207,28 @@ def chunk(blocks: DataFrame, most: int = MAX_TOKENS) -> DataFrame:
     return chunk_folded(docs, most)
 
 
-def chunk_folded(docs: DataFrame, most: int = MAX_TOKENS) -> DataFrame:
-    """Chunks of docs(doc_id, blocks), blocks being sorted arrays: no shuffle is needed where documents come whole."""
+def chunk_folded(docs: DataFrame, most: int = MAX_TOKENS, columns: tuple[str, ...] = ()) -> DataFrame:
+    """Chunks of docs(doc_id, blocks), blocks being sorted arrays: no shuffle is needed where documents come whole.
+
+    columns: those of CHUNK that are wanted, all if none is named. A section stands in each of its chunks, so what a long heading's chunks hold
+    together grows with the square of its length; batches are handed on by size, and a section that isn't wanted isn't written.
+    """
+    schema = pa.schema([x for x in ARROW if not columns or x.name in columns])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, chars = [], 0
         for batch in batches:
-            rows = [r for d, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for r in chunk_blocks(d, b, most)]
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
-
-    return docs.select("doc_id", "blocks").mapInArrow(run, CHUNK)
+            for d, b in zip(batch.column(0), batch.column(1), strict=True):
+                for r in chunk_blocks(d.as_py(), b.as_py(), most):
+                    rows.append(row := {c: r[c] for c in schema.names})
+                    chars += sum(len(v) for v in row.values() if isinstance(v, str))
+                    if chars >= CHARS_AT_ONCE or len(rows) >= ROWS_AT_ONCE:
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        rows, chars = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return docs.select("doc_id", "blocks").mapInArrow(run, ", ".join(x for x in CHUNK.split(", ") if x.split(" ")[0] in schema.names))
 
 
 ARROW = pa.schema(

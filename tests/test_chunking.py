@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from folioforge.operators import chunking as C
@@ -70,3 +71,31 @@ def test_chunk_table(spark):
     s = C.chunk_stats(docs, C.chunk(df)).first()
     assert (s.seen, s.chunked, s.structured_only, s.empty, s.chunks, s.oversize) == (3, 1, 1, 1, 1, 0)
     assert C.chunk(df.limit(0)).count() == 0
+
+
+class Worker:
+    """Stands for a table of folded documents and gives the function that runs in the workers."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        return run
+
+
+def test_a_long_heading_is_handed_on_in_small_batches():
+    """Each of its chunks holds the whole heading as section: 400 x 100 kB here."""
+    batch = pa.RecordBatch.from_pylist([{"doc_id": "D", "blocks": [block(0, "heading", "word " * 20_000)]}, {"doc_id": "E", "blocks": [block(0, "paragraph", "Text.")]}])
+    sizes, rows = [], []
+    for out in C.chunk_folded(Worker(), 50)(iter([batch])):
+        sizes.append(out.nbytes)
+        rows += out.select(["doc_id", "position", "num_tokens"]).to_pylist()
+    assert max(sizes) < 5_000_000 and sum(sizes) > 400 * 99_000
+    assert rows == [{"doc_id": "D", "position": i, "num_tokens": 50} for i in range(400)] + [{"doc_id": "E", "position": 0, "num_tokens": 2}]
+
+
+def test_only_wanted_columns_are_written(spark):
+    docs = spark.createDataFrame([("D", [(0, "b", "heading", "word " * 120, 1, "native", 0.8)])], f"doc_id string, blocks {C.BLOCK}")
+    out = C.chunk_folded(docs, 50, ("doc_id", "num_tokens"))
+    assert out.columns == ["doc_id", "num_tokens"] and [tuple(r) for r in out.collect()] == [("D", 50), ("D", 50), ("D", 20)]
+    assert C.chunk_folded(docs, 50).schema.names == C.ARROW.names
