@@ -73,10 +73,10 @@ def classify(files: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def select_work(registry: DataFrame, only: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    """Retrievable, pending rows, those named in only(doc_id) if given, the first so many by path."""
+    """Retrievable, pending rows, those named in only(doc_id) if given, the first so many by path, of rows of one path by doc_id; rows without a path come last."""
     out = registry.where("role = 'retrievable' and status = 'pending'")
     out = out if only is None else out.join(only, "doc_id", "left_semi")
-    return out if limit is None else out.orderBy("path").limit(limit)
+    return out if limit is None else out.orderBy(F.asc_nulls_last("path"), *(c for c in out.columns if c == "doc_id")).limit(limit)
 
 
 def reconcile(disk: DataFrame, index: DataFrame) -> DataFrame:
